@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wayside.config import Settings
@@ -74,5 +76,7 @@ def cleaned_lean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.clean(filtered(spark, sf_dir), SETTINGS, sensors=())
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return jobs.build_star(cleaned_lean(spark, sf_dir), SETTINGS)
+def star(
+    spark: SparkSession, sf_dir: str, dims: Sequence[str] = jobs.DIMENSIONS
+) -> Star:
+    return jobs.build_star(cleaned_lean(spark, sf_dir), SETTINGS, dims)

@@ -24,7 +24,7 @@ from wayside.operators import reconcile as rc
 from wayside.operators import rules as ru
 from wayside.operators import star as st
 from wayside.plans import jobs
-from wayside.session import scratch_path
+from wayside.session import materialize, scratch_path
 from wayside.sources import tables as io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -441,16 +441,14 @@ def j3(spark, sf):
 
 @register(
     "j4_orphans",
-    """SELECT "ID", "Weather_Condition" FROM incidents WHERE "Weather_Condition" IS NULL OR
- "Weather_Condition" NOT IN (SELECT "Weather_Condition" FROM incidents
-   WHERE "Severity" = 1 AND row_seq % 9 < 4)""",
+    """SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
 )
 def j4(spark, sf):
-    df = fx.incidents(spark, sf)
-    known = df.where((F.col("Severity") == 1) & (F.col("row_seq") % 9 < 4))
-    return st.orphans(
-        df, known.select("Weather_Condition"), "Weather_Condition", "Weather_Condition"
-    ).select("ID", "Weather_Condition")
+    rich = table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    return st.orphans(table(spark, sf, "orders"), rich, "o_custkey", "c_custkey").select(
+        "o_orderkey", "o_custkey"
+    )
 
 
 @register(
@@ -486,7 +484,13 @@ ORACLE["j4_referential_integrity"] = ORACLE["j4_referential_integrity"].replace(
 
 
 def _rollup(spark, sf, *keys):
-    return agg.star_rollup(fx.star(spark, sf), keys, SETTINGS)
+    wanted = {
+        "time": "Year" in keys,
+        "location": bool({"State", "City", "dominant_infra"} & set(keys)),
+        "weather": "Weather_Category" in keys,
+    }
+    star = fx.star(spark, sf, [d for d, on in wanted.items() if on])
+    return materialize(agg.star_rollup(star, keys, SETTINGS))
 
 
 @register("a1_agg_federal", "SELECT * FROM agg_federal")
@@ -610,7 +614,7 @@ def a13_share(spark, sf):
     df = ft.urban_rural(fx.cleaned_lean(spark, sf)).withColumn(
         "u", (F.col("Urban_Rural") == "Urban").cast("int")
     )
-    return rounded(agg.flag_rate(df, "u", "urban_pct"), 6, "urban_pct")
+    return rounded(agg.flag_rate(df, ["u"]).select(F.col("pct").alias("urban_pct")), 6, "urban_pct")
 
 
 _TOTALS = ", ".join(
@@ -652,12 +656,8 @@ def a15(spark, sf):
 UNION ALL SELECT {o.r('avg("Is_High_Severity") * 100', 6)}, 'Is_High_Severity' FROM cleaned""",
 )
 def a16(spark, sf):
-    df = fx.cleaned(spark, sf)
-    rates = [
-        agg.flag_rate(df, f).withColumn("flag", F.lit(f))
-        for f in ("Low_Visibility", "Is_High_Severity")
-    ]
-    return rounded(rates[0].unionByName(rates[1]), 6, "pct")
+    rates = agg.flag_rate(fx.cleaned(spark, sf), ["Low_Visibility", "Is_High_Severity"])
+    return rounded(rates, 6, "pct")
 
 
 # ================================================================ windows, order, sets
@@ -796,12 +796,11 @@ def x1(spark, sf):
 
 @register(
     "x2_key_difference",
-    "SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "SELECT o_custkey AS key FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0",
 )
 def x2(spark, sf):
-    return st.key_difference(
-        table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey"
-    )
+    rich = table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    return st.key_difference(table(spark, sf, "orders"), rich, "o_custkey", "c_custkey")
 
 
 @register(
@@ -1310,9 +1309,7 @@ def _parts(spark, sf):
 
 @register("q13_reconcile_city", _CITY_SQL)
 def q13(spark, sf):
-    df, star = _parts(spark, sf)
-    rolled = agg.star_rollup(star, ["State", "City", "dominant_infra"], SETTINGS)
-    return rc.reconcile_city(agg.agg_city_by_state(rolled, SETTINGS), df, settings=SETTINGS)
+    return rc.reconcile_city(a3(spark, sf), fx.cleaned_lean(spark, sf), settings=SETTINGS)
 
 
 _SIGNS = """(SELECT count(*) FILTER (WHERE "Weather_Category" = 'Clear'
@@ -1354,9 +1351,7 @@ _WEATHER_SQL = "\nUNION ALL\n".join(
 
 @register("q14_reconcile_weather", _WEATHER_SQL)
 def q14(spark, sf):
-    df, star = _parts(spark, sf)
-    rolled = agg.star_rollup(star, ["State", "Weather_Category"], SETTINGS)
-    return rc.reconcile_weather(agg.agg_weather_by_state(rolled, SETTINGS), df, settings=SETTINGS)
+    return rc.reconcile_weather(a4(spark, sf), fx.cleaned_lean(spark, sf), settings=SETTINGS)
 
 
 _TOTALS_SQL = "\nUNION ALL\n".join(

@@ -24,7 +24,9 @@ def repaired_text(c: Column | str) -> Column:
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(60e6)
+    """Minutes from start to end as double, whatever the zone of the session."""
+    span = (_col(end) - _col(start)).cast("interval second")
+    return span.cast("decimal(20,6)").cast("double") / 60
 
 
 def duration_minutes(

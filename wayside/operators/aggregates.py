@@ -1,9 +1,9 @@
 """Dashboard aggregates, shares, running shares and counts.
 
 All five dashboards add up the same few measures, so they share one roll-up:
-counts and sums per group that can be added up again. A roll-up of the fact by
-its own keys comes before any join with a dimension, which leaves one row per
-group to shuffle however many incidents a location, state or weather has.
+counts and sums per group that can be added up again. Rows are added up before
+they are shuffled, which leaves one row per group and task however many incidents
+a location, state or weather has.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from wayside.functions.temporal import (
 )
 from wayside.functions.text import categorize_text
 from wayside.operators.cleaning import present
-from wayside.operators.scale import running_total
+from wayside.operators.scale import MAX_BROADCAST_ROWS, is_small, running_total
 from wayside.operators.star import Star, with_dominant_infra
 
 MEASURES = ("n_rows", "n_id", "n_high", "n_sev", "sum_sev", "sumsq_sev", "n_dur", "sum_dur")
@@ -64,12 +64,16 @@ def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) ->
 
 
 def star_rollup(
-    star: Star, keys: Sequence[str] = DASHBOARD_KEYS, settings: Settings = DEFAULT
+    star: Star,
+    keys: Sequence[str] = DASHBOARD_KEYS,
+    settings: Settings = DEFAULT,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Roll-up of the star, equal to ``rollup(star_join(star), keys)``.
 
-    The fact is rolled up by its foreign keys first; only the dimensions that
-    ``keys`` need are joined.
+    Only the dimensions that ``keys`` need are joined. While they are counted to
+    be small they are broadcast to the fact. With a larger one the fact is rolled
+    up by its foreign keys before it is shuffled to that dimension.
     """
     fact = star.accident_detail
     own = [k for k in ("Hour", "DayOfWeek") if k in keys]
@@ -79,19 +83,26 @@ def star_rollup(
         days = F.broadcast(star.dim_time.select("Date", "Year"))
         fact = fact.join(days, F.col("full_date") == F.col("Date"), "left")
         own.append("Year")
+    dims: dict[str, DataFrame] = {}
     places = [k for k in LOCATION_KEYS if k in keys]
-    own += ["Location_id"] if places else []
-    own += ["weather_id"] if "Weather_Category" in keys else []
-    rolled = rollup(fact, own, settings)
     if places:
         dim = with_dominant_infra(star.dim_location).select("Location_id", *places)
-        rolled = rolled.join(dim, "Location_id", "left")
+        dims["Location_id"] = dim
     if "Weather_Category" in keys:
         category = categorize_text("Weather_Condition", settings.weather_rules_agg)
-        rolled = rolled.join(star.dim_weather, "weather_id", "left").withColumn(
-            "Weather_Category", category
+        dims["weather_id"] = star.dim_weather.select(
+            "weather_id", category.alias("Weather_Category")
         )
-    return rollup(rolled, keys, settings)
+    small = {fk for fk, dim in dims.items() if is_small(dim, max_broadcast_rows)}
+    if small != set(dims):
+        fact = rollup(fact, [*own, *dims], settings)
+    for fk, dim in dims.items():
+        fact = fact.join(F.broadcast(dim) if fk in small else dim, fk, "left")
+    if "Weather_Category" in keys:
+        # a fact without an entry has no text, which counts as clear
+        no_text = categorize_text(F.lit(None).cast("string"), settings.weather_rules_agg)
+        fact = fact.withColumn("Weather_Category", F.coalesce("Weather_Category", no_text))
+    return rollup(fact, keys, settings)
 
 
 def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -409,8 +420,11 @@ def summary(df: DataFrame) -> DataFrame:
     )
 
 
-def flag_rate(df: DataFrame, flag: str, out: str = "pct") -> DataFrame:
-    return df.agg((F.avg(flag) * 100).alias(out))
+def flag_rate(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Mean of each 0/1 flag in percent, from one pass."""
+    one = df.agg(*[(F.avg(f) * 100).alias(f) for f in flags])
+    rows = [F.struct(F.lit(f).alias("flag"), F.col(f).alias("pct")) for f in flags]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def infra_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, RISK_LABELS, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
+from wayside.operators.aggregates import rollup
 from wayside.operators.rules import finding
 
 
@@ -26,6 +27,20 @@ def _one(df: DataFrame, *found: Column) -> DataFrame:
     return df.select(F.inline(F.array(*found)))
 
 
+def recount(base: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """The measures per state, city and weather, from the rows and nothing else."""
+    category = categorize_text("Weather_Condition", settings.weather_rules_agg)
+    return rollup(
+        base.withColumn("Weather_Category", category),
+        ["State", "City", "Weather_Category"],
+        settings,
+    )
+
+
+def _counts(base: DataFrame, settings: Settings) -> DataFrame:
+    return base if "n_rows" in base.columns else recount(base, settings)
+
+
 def reconcile_city(
     agg: DataFrame,
     base: DataFrame,
@@ -35,13 +50,13 @@ def reconcile_city(
 ) -> DataFrame:
     """City aggregate against the rows: totals, high severity, share; and per state.
 
-    All groups by default; ``pairs`` and ``states`` narrow it to samples. The
-    rows are counted per state and city before the join.
+    All groups by default; ``pairs`` and ``states`` narrow it to samples.
+    ``base`` is the cleaned rows or their ``recount``.
     """
     stage = "city_by_state"
-    counted = base.where(F.col("State").isNotNull()).groupBy("State", "City").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("Severity") >= settings.high_severity).alias("n_high"),
+    known = _counts(base, settings).where(F.col("State").isNotNull())
+    counted = known.groupBy("State", "City").agg(
+        F.sum("n_rows").alias("n"), F.sum("n_high").alias("n_high")
     )
     whole = counted.groupBy(F.col("State").alias("s")).agg(F.sum("n").alias("n_state"))
     manual = counted.join(whole, F.col("State") == F.col("s")).select(
@@ -118,6 +133,7 @@ def reconcile_weather(
 
     The rows are categorised with the rule set of the aggregate, so every
     category is compared; states without clear weather are skipped.
+    ``base`` is the cleaned rows or their ``recount``.
     """
     stage = "weather_by_state"
     clear = F.col("Weather_Category") == "Clear"
@@ -142,16 +158,12 @@ def reconcile_weather(
             "0", F.col("foreign").cast("string"), "rows:",
         ),
     )
-    rows = base.where(F.col("State").isNotNull()).select(
-        F.col("State").alias("m_state"),
-        categorize_text("Weather_Condition", settings.weather_rules_agg).alias("m_category"),
-        F.col("Severity").cast("double").alias("sev"),
-    )
+    known = _counts(base, settings).where(F.col("State").isNotNull())
     if states is not None:
-        rows = rows.where(F.col("m_state").isin(*states))
-    means = rows.groupBy("m_state", "m_category").agg(
-        ratio(F.sum("sev"), F.count("sev")).alias("mean")
-    )
+        known = known.where(F.col("State").isin(*states))
+    means = known.groupBy(
+        F.col("State").alias("m_state"), F.col("Weather_Category").alias("m_category")
+    ).agg(ratio(F.sum("sum_sev"), F.sum("n_sev")).alias("mean"))
     baseline = means.where(F.col("m_category") == "Clear").select(
         F.col("m_state").alias("c_state"), F.col("mean").alias("clear_mean")
     )
@@ -181,8 +193,12 @@ def reconcile_weather(
 
 
 def reconcile_totals(aggs: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
-    """The totals of each aggregate add up to the number of rows."""
-    rows = base.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """The totals of each aggregate add up to the number of rows.
+
+    ``base`` is the cleaned rows or their ``recount``.
+    """
+    counted = F.sum("n_rows") if "n_rows" in base.columns else F.count(F.lit(1))
+    rows = base.agg(counted.alias("n")).scalar()
     checks = [
         _one(
             agg.agg(F.sum("total_accidents").alias("total")).withColumn("n", rows),

@@ -22,12 +22,17 @@ MAX_BROADCAST_ROWS = 500_000
 MAX_ONE_TASK_ROWS = 1_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Counted, not estimated; cheap on a file or a checkpoint."""
+    return df.count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint if the table is counted to be small; otherwise no hint.
 
     Without the hint Spark shuffles both sides and AQE splits skewed partitions.
     """
-    return F.broadcast(df) if _at_most(df, max_rows) else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def scalar_struct(one_row: DataFrame) -> Column:
@@ -35,10 +40,6 @@ def scalar_struct(one_row: DataFrame) -> Column:
     return one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns])).scalar()
 
 
-def _at_most(df: DataFrame, rows: int) -> bool:
-    return df.count() <= rows
-
-
 def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
     """The rows with ``__range``, the number of their range in ascending key order."""
     return materialize(df.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()))
@@ -70,7 +71,7 @@ def running_total(
     """
     by = list(by)
     rows = materialize(df)
-    if _at_most(rows, one_task_rows):
+    if is_small(rows, one_task_rows):
         upto = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*key)
         upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.withColumn(out, F.sum(weight).over(upto))
@@ -137,7 +138,7 @@ def exact_quantiles(
             ]
         )
     counts = materialize(value_counts_long(df, cols, "double"))
-    if _at_most(counts, one_task_rows):
+    if is_small(counts, one_task_rows):
         points = F.array(*[F.lit(float(p)) for p in probs])
         found = counts.agg(
             *[

@@ -30,18 +30,21 @@ FACT_COLS = (
 
 @dataclass(frozen=True)
 class Star:
-    dim_time: DataFrame
-    dim_location: DataFrame
-    dim_weather: DataFrame
+    """Fact and dimensions; a dimension nobody asked for is None."""
+
     accident_detail: DataFrame
+    dim_time: DataFrame | None = None
+    dim_location: DataFrame | None = None
+    dim_weather: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
+        named = {
             "dim_time": self.dim_time,
             "dim_location": self.dim_location,
             "dim_weather": self.dim_weather,
             "accident_detail": self.accident_detail,
         }
+        return {name: df for name, df in named.items() if df is not None}
 
 
 def row_order(df: DataFrame) -> Column:
@@ -117,10 +120,12 @@ def attach_weather_id(df: DataFrame, dim_weather: DataFrame) -> DataFrame:
 
 
 def build_fact(
-    df: DataFrame, dim_weather: DataFrame, settings: Settings = DEFAULT
+    df: DataFrame, dim_weather: DataFrame | None, settings: Settings = DEFAULT
 ) -> DataFrame:
+    """The fact rows; without a weather dimension they have no ``weather_id``."""
     timed = with_timestamps(df)
-    fact = attach_weather_id(timed, dim_weather).withColumns(
+    keyed = timed if dim_weather is None else attach_weather_id(timed, dim_weather)
+    fact = keyed.withColumns(
         {
             "Location_id": location_key(settings.location_cols, settings.location_sep),
             "full_date": F.to_date("Start_Time"),
@@ -138,15 +143,15 @@ def build_fact(
 def star_join(star: Star, settings: Settings = DEFAULT) -> DataFrame:
     """Every fact row with its dimensions and the derived columns of the aggregates.
 
-    Spark chooses the join of each dimension from its size; a location that
-    holds a large part of the fact is split by AQE.
+    Dimensions counted to be small are broadcast, so the fact is not shuffled.
+    Beyond that AQE splits a location that holds a large part of the fact.
     """
     # one row per calendar day, so the size is bounded by the calendar
     days = F.broadcast(star.dim_time)
     joined = (
         star.accident_detail.join(days, F.col("full_date") == F.col("Date"), "left")
-        .join(star.dim_location, "Location_id", "left")
-        .join(star.dim_weather, "weather_id", "left")
+        .join(broadcast_if_small(star.dim_location), "Location_id", "left")
+        .join(broadcast_if_small(star.dim_weather), "weather_id", "left")
     )
     return joined.withColumns(
         {

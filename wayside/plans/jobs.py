@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ from wayside.operators.reconcile import (
     reconcile_city,
     reconcile_totals,
     reconcile_weather,
+    recount,
 )
 from wayside.operators.rules import check_quality, check_rules, check_star, raise_failures
 from wayside.operators.star import (
@@ -132,14 +134,24 @@ def clean_report(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def build_star(df: DataFrame, settings: Settings = DEFAULT) -> Star:
-    """Three dimensions and the fact of a cleaned table."""
-    dim_weather = build_dim_weather(df)
+DIMENSIONS = ("time", "location", "weather")
+
+
+def build_star(
+    df: DataFrame, settings: Settings = DEFAULT, dims: Sequence[str] = DIMENSIONS
+) -> Star:
+    """Three dimensions and the fact of a cleaned table.
+
+    The dimensions are computed at once and kept, so that joining or checking
+    them does not repeat their pass over the rows; ``dims`` names the wanted
+    ones. The fact stays lazy.
+    """
+    weather = materialize(build_dim_weather(df)) if "weather" in dims else None
     return Star(
-        dim_time=build_dim_time(df),
-        dim_location=build_dim_location(df, settings),
-        dim_weather=dim_weather,
-        accident_detail=build_fact(df, dim_weather, settings),
+        accident_detail=build_fact(df, weather, settings),
+        dim_time=materialize(build_dim_time(df)) if "time" in dims else None,
+        dim_location=materialize(build_dim_location(df, settings)) if "location" in dims else None,
+        dim_weather=weather,
     )
 
 
@@ -158,23 +170,40 @@ def build_aggregates(star: Star, settings: Settings = DEFAULT) -> dict[str, Data
 def validate_outputs(
     base: DataFrame, aggs: Mapping[str, DataFrame], settings: Settings = DEFAULT
 ) -> DataFrame:
-    """All findings on the aggregates and the cleaned rows."""
+    """All findings on the aggregates and the cleaned rows.
+
+    The rows are recounted once for the three reconciliations.
+    """
+    counts = materialize(recount(base, settings))
     parts = [
-        reconcile_city(aggs["agg_city_by_state"], base, settings=settings),
-        reconcile_weather(aggs["agg_weather_by_state"], base, settings=settings),
+        reconcile_city(aggs["agg_city_by_state"], counts, settings=settings),
+        reconcile_weather(aggs["agg_weather_by_state"], counts, settings=settings),
         reconcile_totals(
             {
                 "agg_federal": aggs["agg_federal"],
                 "agg_city_by_state": aggs["agg_city_by_state"],
                 "agg_weather_by_state": aggs["agg_weather_by_state"],
             },
-            base,
+            counts,
         ),
         check_quality(base, settings),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def at_once(tasks: Sequence[Callable[[], None]], threads: int = 4) -> None:
+    """Run independent small Spark jobs side by side; the first error is raised."""
+    with ThreadPoolExecutor(threads) as pool:
+        for done in [pool.submit(task) for task in tasks]:
+            done.result()
+
+
+def _write_dim(
+    name: str, build: Callable[[DataFrame], DataFrame], cleaned: DataFrame, path: str
+) -> None:
+    write_small(name, build(cleaned), path)
+
+
 @dataclass(frozen=True)
 class EtlResult:
     cleaned: DataFrame
@@ -201,37 +230,40 @@ def run_etl(
     raw = filter_years(
         read_incidents(spark, source, fmt), settings.start_year, settings.end_year
     )
-    write_table(agg.summary(raw), f"{out}/profile/summary")
+    about = {"summary": agg.summary(raw)}
     if with_profile:
-        for name, table in profile(raw).items():
-            write_table(table, f"{out}/profile/{name}")
+        about |= profile(raw)
+    at_once(
+        [partial(write_table, table, f"{out}/profile/{name}") for name, table in about.items()]
+    )
 
     write_table(clean(raw, settings), f"{out}/cleaned")
     cleaned = read_table(spark, f"{out}/cleaned")
     raise_failures(check_rules(cleaned, "cleaner", cleaner_gate_rules(settings)))
 
     paths = star_paths(out)
-    write_small("dim_time", build_dim_time(cleaned), paths["dim_time"])
-    write_small("dim_location", build_dim_location(cleaned, settings), paths["dim_location"])
-    write_small("dim_weather", build_dim_weather(cleaned), paths["dim_weather"])
+    dims = {
+        "dim_time": build_dim_time,
+        "dim_location": lambda df: build_dim_location(df, settings),
+        "dim_weather": build_dim_weather,
+    }
+    at_once(
+        [partial(_write_dim, name, build, cleaned, paths[name]) for name, build in dims.items()]
+    )
     write_table(
         build_fact(cleaned, read_table(spark, paths["dim_weather"]), settings),
         paths["accident_detail"],
     )
     star = read_star(spark, out)
 
-    for name, table in build_aggregates(star, settings).items():
-        write_small(name, table, f"{out}/aggregates/{name}")
-    aggs = {
-        name: read_table(spark, f"{out}/aggregates/{name}")
-        for name in (
-            "agg_federal",
-            "agg_state_anomaly",
-            "agg_city_by_state",
-            "agg_weather_by_state",
-            "agg_time_pattern",
-        )
-    }
+    built = build_aggregates(star, settings)
+    at_once(
+        [
+            partial(write_small, name, table, f"{out}/aggregates/{name}")
+            for name, table in built.items()
+        ]
+    )
+    aggs = {name: read_table(spark, f"{out}/aggregates/{name}") for name in built}
 
     found = check_star(star, settings).unionByName(validate_outputs(cleaned, aggs, settings))
     write_table(found, f"{out}/quality/findings")
