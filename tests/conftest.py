@@ -19,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="10000",
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -34,6 +34,13 @@ def test_csv_by_header(spark, tmp_path):
     assert (c["Severity"], c["Temperature(F)"], c["City"], c["Extra"]) == (None,) * 4
 
 
+def test_line_break_inside_quotes(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('ID,Start_Time,Description\nA-1,2021-01-02 03:04:05,"two\nlines"\n')
+    row = io.read_incidents(spark, str(path), multi_line=True).collect()
+    assert [r["Description"] for r in row] == ["two\nlines"]
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         io.read_incidents(spark, str(tmp_path / "none.csv"))

@@ -75,17 +75,21 @@ def _missing_to_null(df: DataFrame, texts: bool) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
-def read_incidents(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_incidents(
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False
+) -> DataFrame:
     """The raw incident table with its two time columns parsed.
 
     For CSV the header gives the column order; declared columns get their type,
     without a pass over the data to infer it. NaN and, in a CSV, the texts that
-    stand for a missing value become null.
+    stand for a missing value become null. ``multi_line`` allows line breaks inside
+    quotes, which keeps Spark from splitting a file.
     """
     try:
         if fmt == "csv":
-            header = spark.read.options(**CSV_OPTIONS).csv(path).columns
-            raw = spark.read.options(**CSV_OPTIONS).schema(raw_schema(header)).csv(path)
+            reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+            header = reader.csv(path).columns
+            raw = reader.schema(raw_schema(header)).csv(path)
         else:
             raw = spark.read.format(fmt).load(path)
     except AnalysisException as e:
