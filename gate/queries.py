@@ -989,21 +989,28 @@ _scalar(
     f"round_even(coalesce(({T} - {V}) / nullif({P}, 0), 0), 6) AS z",
     lambda: [num.round_even(num.z_score(TEMP, VIS, RAIN), 6).alias("z")],
 )
-_CAT = o.category(_W, cfg.WEATHER_RULES_UTILS, "Other", "Clear")
-_scalar(
+_CAT = o.category(_W, cfg.WEATHER_RULES_CONFIG)
+
+
+@register(
     "m7_weather_risk_score",
-    f"{o.risk_score(f'({_CAT})', T, f'({V} * 10)')} AS score,"
-    f" {o.risk_score(f'({_CAT})', T, f'({V} * 10)', 0)} AS score_unknown_0",
-    lambda: [
-        num.weather_risk_score(
-            tx.categorize_text("Weather_Condition", cfg.WEATHER_RULES_UTILS, "Other", "Clear"),
-            TEMP,
-            F.col(VIS) * 10,
-            base,
-        ).alias(name)
-        for base, name in ((1, "score"), (0, "score_unknown_0"))
-    ],
+    f"""SELECT "ID", {o.risk_score('c', T, f'({V} * 10)')} AS score,
+ {o.risk_score('c || "Description"', T, f'({V} * 10)', 0)} AS score_unknown
+FROM (SELECT *, {_CAT} AS c FROM incidents) i""",
 )
+def m7(spark, sf):
+    df = fx.incidents(spark, sf).withColumn(
+        "c", tx.categorize_text("Weather_Condition", cfg.WEATHER_RULES_CONFIG)
+    )
+    wide = F.col(VIS) * 10
+    unknown = F.concat("c", "Description")
+    return df.select(
+        "ID",
+        num.weather_risk_score("c", TEMP, wide).alias("score"),
+        num.weather_risk_score(unknown, TEMP, wide, 0).alias("score_unknown"),
+    )
+
+
 _scalar(
     "m8_risk_category",
     f"{o.risk_label(V)} AS risk",

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wayside.config import DAY_NAMES, RUSH_HOURS, HourScheme
-from wayside.functions.numeric import _col, clip_to, ladder
+from wayside.functions.numeric import _col, clip_to
 
 # Fixed value: the only text format that counts as well formed.
 DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
@@ -51,10 +51,13 @@ def day_name_from_index(i: Column | str) -> Column:
 
 
 def hour_bucket(hour: Column | str, scheme: HourScheme) -> Column:
-    h = _col(hour)
-    return ladder(
-        (((h >= lo) & (h < hi), label) for lo, hi, label in scheme.ranges), scheme.otherwise
-    )
+    """Label of the hour: one lookup in a constant array of 24 labels."""
+    by_hour = [
+        next((label for lo, hi, label in scheme.ranges if lo <= h < hi), scheme.otherwise)
+        for h in range(24)
+    ]
+    labels = F.array(*[F.lit(label) for label in by_hour])
+    return F.coalesce(F.get(labels, _col(hour).cast("int")), F.lit(scheme.otherwise))
 
 
 def is_rush_hour(hour: Column | str) -> Column:

@@ -11,8 +11,22 @@ from pyspark.sql import functions as F
 from wayside.functions.numeric import _col, ladder
 
 
-def _contains_any(lowered: Column, words: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [lowered.contains(w.lower()) for w in words])
+def lowered(c: Column | str) -> Column:
+    """Lower-cased text, empty for null: what keywords are looked up in."""
+    return F.coalesce(F.lower(_col(c)), F.lit(""))
+
+
+def _contains_any(low: Column, words: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [low.contains(w.lower()) for w in words])
+
+
+def category_of(low: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
+    """First rule with a keyword in an already lowered text."""
+    return ladder(((_contains_any(low, words), name) for name, words in rules), default)
+
+
+def flag_of(low: Column, words: Sequence[str]) -> Column:
+    return _contains_any(low, words).cast("int")
 
 
 def categorize_text(
@@ -25,17 +39,15 @@ def categorize_text(
 
     A null text gets ``null_as``, or ``default`` when that is not given.
     """
-    text = _col(c)
-    low = F.lower(text)
-    found = ladder(((_contains_any(low, words), name) for name, words in rules), default)
+    found = category_of(lowered(c), rules, default)
     if null_as is None or null_as == default:
         return found
-    return F.when(text.isNull(), F.lit(null_as)).otherwise(found)
+    return F.when(_col(c).isNull(), F.lit(null_as)).otherwise(found)
 
 
 def keyword_flag(c: Column | str, words: Sequence[str]) -> Column:
     """1 where any of the words occurs, ignoring case; null counts as 0."""
-    return F.coalesce(_contains_any(F.lower(_col(c)), words).cast("int"), F.lit(0))
+    return flag_of(lowered(c), words)
 
 
 def location_key(

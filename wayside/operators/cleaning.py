@@ -13,7 +13,7 @@ from wayside.config import DEFAULT, SENSOR_COLS
 from wayside.functions.numeric import bin_label, clip_to, percent
 from wayside.functions.temporal import (
     DATETIME_PATTERN,
-    duration_minutes,
+    minutes_between,
     parse_timestamp,
     repaired_text,
 )
@@ -124,9 +124,9 @@ def add_duration(
     out: str = "Duration_min",
     hi: float = DEFAULT.duration_max_min,
 ) -> DataFrame:
-    return with_timestamps(df, [start, end]).withColumn(
-        out, duration_minutes(start, end, 0.0, hi)
-    )
+    # in two steps, so that the difference is computed once per row
+    timed = with_timestamps(df, [start, end]).withColumn(out, minutes_between(start, end))
+    return clip(timed, out, 0.0, hi)
 
 
 def cap_count(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:

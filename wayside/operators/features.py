@@ -20,12 +20,13 @@ from wayside.config import (
 from wayside.functions.numeric import high_severity_flag, infra_score, low_visibility_flag
 from wayside.functions.temporal import (
     day_name,
+    day_name_from_index,
     day_of_week,
     hour_bucket,
     is_rush_hour,
     is_weekend,
 )
-from wayside.functions.text import categorize_text, keyword_flag, location_key
+from wayside.functions.text import category_of, flag_of, location_key, lowered
 from wayside.operators.cleaning import present
 from wayside.operators.scale import exact_quantiles, quantile_name, scalar_struct
 
@@ -33,19 +34,23 @@ from wayside.operators.scale import exact_quantiles, quantile_name, scalar_struc
 def add_time_features(
     df: DataFrame, ts: str = "Start_Time", scheme: HourScheme = HOURS_TRANSFORMS
 ) -> DataFrame:
-    hour, weekday = F.hour(ts), day_of_week(ts)
-    return df.withColumns(
+    # labels come in a second step, so that hour and weekday are computed once per row
+    parts = df.withColumns(
         {
             "Year": F.year(ts),
             "Month": F.month(ts),
             "Day": F.dayofmonth(ts),
-            "Hour": hour,
-            "DayOfWeek": weekday,
-            "DayName": day_name(ts),
+            "Hour": F.hour(ts),
+            "DayOfWeek": day_of_week(ts),
             "Quarter": F.quarter(ts),
-            "Time_Period": hour_bucket(hour, scheme),
-            "Is_Rush_Hour": is_rush_hour(hour),
-            "Is_Weekend": is_weekend(weekday),
+        }
+    )
+    return parts.withColumns(
+        {
+            "DayName": day_name_from_index("DayOfWeek"),
+            "Time_Period": hour_bucket("Hour", scheme),
+            "Is_Rush_Hour": is_rush_hour("Hour"),
+            "Is_Weekend": is_weekend("DayOfWeek"),
         }
     )
 
@@ -53,14 +58,16 @@ def add_time_features(
 def add_weather_features(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     new: dict[str, Column] = {}
     if "Weather_Condition" in df.columns:
-        text = "Weather_Condition"
-        new["Weather_Category"] = categorize_text(text, settings.weather_rules_clean)
-        new["Is_Rain"] = keyword_flag(text, RAIN_WORDS)
-        new["Is_Snow"] = keyword_flag(text, SNOW_WORDS)
-        new["Is_Fog"] = keyword_flag(text, FOG_WORDS)
+        # the text is lowered once for all lookups
+        df = df.withColumn("__low", lowered("Weather_Condition"))
+        low = F.col("__low")
+        new["Weather_Category"] = category_of(low, settings.weather_rules_clean, "Clear")
+        new["Is_Rain"] = flag_of(low, RAIN_WORDS)
+        new["Is_Snow"] = flag_of(low, SNOW_WORDS)
+        new["Is_Fog"] = flag_of(low, FOG_WORDS)
     if "Visibility(mi)" in df.columns:
         new["Low_Visibility"] = low_visibility_flag("Visibility(mi)", settings.low_visibility)
-    return df.withColumns(new) if new else df
+    return df.withColumns(new).drop("__low") if new else df
 
 
 def add_infra_score(

@@ -13,6 +13,7 @@ from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
 from wayside.operators.aggregates import rollup
 from wayside.operators.rules import finding
+from wayside.session import materialize
 
 
 def _number(c: Column) -> Column:
@@ -29,16 +30,16 @@ def _one(df: DataFrame, *found: Column) -> DataFrame:
 
 def recount(base: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """The measures per state, city and weather, from the rows and nothing else."""
+    # texts are few, so they are categorised after the rows are counted
+    counted = rollup(base, ["State", "City", "Weather_Condition"], settings)
     category = categorize_text("Weather_Condition", settings.weather_rules_agg)
     return rollup(
-        base.withColumn("Weather_Category", category),
-        ["State", "City", "Weather_Category"],
-        settings,
+        counted.withColumn("Weather_Category", category), ["State", "City", "Weather_Category"]
     )
 
 
 def _counts(base: DataFrame, settings: Settings) -> DataFrame:
-    return base if "n_rows" in base.columns else recount(base, settings)
+    return base if "n_rows" in base.columns else materialize(recount(base, settings))
 
 
 def reconcile_city(

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from wayside.config import DEFAULT, INFRA_COLS, INFRA_WEIGHTS, PLACE_COLS, Settings
 from wayside.functions.numeric import dominant_feature, weighted_infra_score
-from wayside.functions.temporal import day_of_week, duration_minutes
+from wayside.functions.temporal import day_of_week
 from wayside.functions.text import categorize_text, location_key
-from wayside.operators.cleaning import present, select_available, with_timestamps
+from wayside.operators.cleaning import add_duration, present, select_available, with_timestamps
 from wayside.operators.scale import broadcast_if_small, running_total
 
 FACT_COLS = (
@@ -129,12 +129,9 @@ def build_fact(
         {
             "Location_id": location_key(settings.location_cols, settings.location_sep),
             "full_date": F.to_date("Start_Time"),
-            "Duration_min": duration_minutes(
-                "Start_Time", "End_Time", 0.0, settings.duration_max_min
-            ),
         }
     )
-    return select_available(fact, FACT_COLS)
+    return select_available(add_duration(fact, hi=settings.duration_max_min), FACT_COLS)
 
 
 # ---------------------------------------------------------------- joins
