@@ -99,14 +99,11 @@ def as_rows(df):
 def test_star_rollup_equals_rollup_of_the_join(spark, max_rows):
     star = fx.star(spark, SF_MID)
     joined = st.with_dominant_infra(st.star_join(star, SETTINGS))
-    for keys in (
-        agg.DASHBOARD_KEYS,
-        ("State", "Weather_Category"),
-        ("Hour", "DayOfWeek"),
-        ("Year", "State", "City"),
-    ):
+    for keys in {*agg.DASHBOARDS.values(), ("Year", "Hour", "Weather_Category", "State")}:
         got = agg.star_rollup(star, keys, SETTINGS, max_broadcast_rows=max_rows)
         assert as_rows(got) == as_rows(agg.rollup(joined, list(keys), SETTINGS))
+    for name, got in agg.star_rollups(star, settings=SETTINGS, max_broadcast_rows=max_rows).items():
+        assert as_rows(got) == as_rows(agg.rollup(joined, list(agg.DASHBOARDS[name]), SETTINGS))
 
 
 def test_dashboards_from_rows_and_from_the_shared_rollup_agree(spark):

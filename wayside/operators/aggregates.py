@@ -1,14 +1,13 @@
 """Dashboard aggregates, shares, running shares and counts.
 
-All five dashboards add up the same few measures, so they share one roll-up:
-counts and sums per group that can be added up again. Rows are added up before
-they are shuffled, which leaves one row per group and task however many incidents
-a location, state or weather has.
+All five dashboards add up the same few measures: counts and sums per group that
+can be added up again. Rows are added up before they are shuffled, which leaves
+one row per group and task however many incidents a location, state or weather has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,21 +36,30 @@ from wayside.functions.text import categorize_text
 from wayside.operators.cleaning import present
 from wayside.operators.scale import MAX_BROADCAST_ROWS, is_small, running_total
 from wayside.operators.star import Star, with_dominant_infra
+from wayside.session import materialize
 
 MEASURES = ("n_rows", "n_id", "n_high", "n_sev", "sum_sev", "sumsq_sev", "n_dur", "sum_dur")
 LOCATION_KEYS = ("State", "City", "dominant_infra")
-DASHBOARD_KEYS = ("Year", "Hour", "DayOfWeek", "Weather_Category", *LOCATION_KEYS)
+
+# the groups each dashboard is made from
+DASHBOARDS = {
+    "agg_federal": ("Year", "State", "City"),
+    "agg_state_anomaly": ("Year", "State", "City"),
+    "agg_city_by_state": ("State", "City", "dominant_infra"),
+    "agg_weather_by_state": ("State", "Weather_Category"),
+    "agg_time_pattern": ("Hour", "DayOfWeek"),
+}
 
 
 # ---------------------------------------------------------------- roll-up
 
 
-def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
-    """Addable measures per group, from incident rows or from a finer roll-up."""
+def _measures(df: DataFrame, settings: Settings) -> list[Column]:
+    """Addable measures of incident rows, or the sums of those of a roll-up."""
     if "n_rows" in df.columns:
-        return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        return [F.sum(m).alias(m) for m in MEASURES]
     sev = F.col("Severity").cast("double")
-    return df.groupBy(*keys).agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count("ID").alias("n_id"),
         F.count_if(F.col("Severity") >= settings.high_severity).alias("n_high"),
@@ -60,21 +68,45 @@ def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) ->
         F.sum(sev * sev).alias("sumsq_sev"),
         F.count("Duration_min").alias("n_dur"),
         F.sum("Duration_min").alias("sum_dur"),
-    )
+    ]
 
 
-def star_rollup(
-    star: Star,
-    keys: Sequence[str] = DASHBOARD_KEYS,
-    settings: Settings = DEFAULT,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Roll-up of the star, equal to ``rollup(star_join(star), keys)``.
+def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
+    """Addable measures per group, from incident rows or from a finer roll-up."""
+    return df.groupBy(*keys).agg(*_measures(df, settings))
 
-    Only the dimensions that ``keys`` need are joined. While they are counted to
-    be small they are broadcast to the fact. With a larger one the fact is rolled
-    up by its foreign keys before it is shuffled to that dimension.
+
+def by_sets(
+    df: DataFrame, sets: Mapping[str, Sequence[str]], measures: Sequence[Column]
+) -> dict[str, DataFrame]:
+    """Several groupings of the same rows from one pass and one shuffle, computed once.
+
+    Each row is added up in every grouping before the shuffle, which then moves
+    only as many rows as there are groups, not their combinations.
     """
+    cols = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    distinct = list(dict.fromkeys(tuple(keys) for keys in sets.values()))
+    grouped = df.groupingSets([[F.col(c) for c in keys] for keys in distinct], *cols).agg(
+        F.grouping_id(*cols).alias("__set"), *measures
+    )
+    once = materialize(grouped)
+
+    def number(keys: Sequence[str]) -> int:
+        # a bit per column, first column highest, set where the column is left out
+        return int("".join("0" if c in keys else "1" for c in cols), 2)
+
+    return {
+        name: once.where(F.col("__set") == number(keys)).drop(
+            "__set", *[c for c in cols if c not in keys]
+        )
+        for name, keys in sets.items()
+    }
+
+
+def _with_dimensions(
+    star: Star, keys: Sequence[str], settings: Settings, max_broadcast_rows: int
+) -> DataFrame:
+    """The fact, or its roll-up by foreign keys, with the columns of ``keys``."""
     fact = star.accident_detail
     own = [k for k in ("Hour", "DayOfWeek") if k in keys]
     fact = fact.withColumns({"Hour": F.hour("Start_Time"), "DayOfWeek": day_of_week("Start_Time")})
@@ -102,7 +134,34 @@ def star_rollup(
         # a fact without an entry has no text, which counts as clear
         no_text = categorize_text(F.lit(None).cast("string"), settings.weather_rules_agg)
         fact = fact.withColumn("Weather_Category", F.coalesce("Weather_Category", no_text))
-    return rollup(fact, keys, settings)
+    return fact
+
+
+def star_rollup(
+    star: Star,
+    keys: Sequence[str],
+    settings: Settings = DEFAULT,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Roll-up of the star, equal to ``rollup(star_join(star), keys)``.
+
+    Only the dimensions that ``keys`` need are joined. While they are counted to
+    be small they are broadcast to the fact. With a larger one the fact is rolled
+    up by its foreign keys before it is shuffled to that dimension.
+    """
+    return rollup(_with_dimensions(star, keys, settings, max_broadcast_rows), keys, settings)
+
+
+def star_rollups(
+    star: Star,
+    sets: Mapping[str, Sequence[str]] = DASHBOARDS,
+    settings: Settings = DEFAULT,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> dict[str, DataFrame]:
+    """A roll-up per entry of ``sets``, all from one pass over the fact."""
+    keys = list(dict.fromkeys(c for cols in sets.values() for c in cols))
+    rows = _with_dimensions(star, keys, settings, max_broadcast_rows)
+    return by_sets(rows, sets, _measures(rows, settings))
 
 
 def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, RISK_LABELS, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
-from wayside.operators.aggregates import rollup
+from wayside.operators.aggregates import by_sets
 from wayside.operators.rules import finding
-from wayside.session import materialize
 
 
 def _number(c: Column) -> Column:
@@ -28,18 +27,33 @@ def _one(df: DataFrame, *found: Column) -> DataFrame:
     return df.select(F.inline(F.array(*found)))
 
 
-def recount(base: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """The measures per state, city and weather, from the rows and nothing else."""
-    # texts are few, so they are categorised after the rows are counted
-    counted = rollup(base, ["State", "City", "Weather_Condition"], settings)
-    category = categorize_text("Weather_Condition", settings.weather_rules_agg)
-    return rollup(
-        counted.withColumn("Weather_Category", category), ["State", "City", "Weather_Category"]
+COUNTS = {"city": ("State", "City"), "weather": ("State", "Weather_Condition")}
+
+
+def recount(
+    base: DataFrame, settings: Settings = DEFAULT, wanted: Sequence[str] = tuple(COUNTS)
+) -> dict[str, DataFrame]:
+    """Counts per state and city and per state and weather, from the rows and nothing else."""
+    high = F.col("Severity") >= settings.high_severity
+    found = by_sets(
+        base,
+        {name: COUNTS[name] for name in wanted},
+        [
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(high).alias("n_high"),
+            F.count("Severity").alias("n_sev"),
+            F.sum(F.col("Severity").cast("double")).alias("sum_sev"),
+        ],
     )
+    if "weather" in found:
+        # texts are few, so they are categorised after the rows are counted
+        category = categorize_text("Weather_Condition", settings.weather_rules_agg)
+        found["weather"] = found["weather"].withColumn("Weather_Category", category)
+    return found
 
 
-def _counts(base: DataFrame, settings: Settings) -> DataFrame:
-    return base if "n_rows" in base.columns else materialize(recount(base, settings))
+def _counts(base: DataFrame, name: str, settings: Settings) -> DataFrame:
+    return base if "n_rows" in base.columns else recount(base, settings, [name])[name]
 
 
 def reconcile_city(
@@ -52,10 +66,10 @@ def reconcile_city(
     """City aggregate against the rows: totals, high severity, share; and per state.
 
     All groups by default; ``pairs`` and ``states`` narrow it to samples.
-    ``base`` is the cleaned rows or their ``recount``.
+    ``base`` is the cleaned rows or ``recount(...)["city"]``.
     """
     stage = "city_by_state"
-    known = _counts(base, settings).where(F.col("State").isNotNull())
+    known = _counts(base, "city", settings).where(F.col("State").isNotNull())
     counted = known.groupBy("State", "City").agg(
         F.sum("n_rows").alias("n"), F.sum("n_high").alias("n_high")
     )
@@ -134,7 +148,7 @@ def reconcile_weather(
 
     The rows are categorised with the rule set of the aggregate, so every
     category is compared; states without clear weather are skipped.
-    ``base`` is the cleaned rows or their ``recount``.
+    ``base`` is the cleaned rows or ``recount(...)["weather"]``.
     """
     stage = "weather_by_state"
     clear = F.col("Weather_Category") == "Clear"
@@ -159,7 +173,7 @@ def reconcile_weather(
             "0", F.col("foreign").cast("string"), "rows:",
         ),
     )
-    known = _counts(base, settings).where(F.col("State").isNotNull())
+    known = _counts(base, "weather", settings).where(F.col("State").isNotNull())
     if states is not None:
         known = known.where(F.col("State").isin(*states))
     means = known.groupBy(
@@ -196,7 +210,7 @@ def reconcile_weather(
 def reconcile_totals(aggs: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     """The totals of each aggregate add up to the number of rows.
 
-    ``base`` is the cleaned rows or their ``recount``.
+    ``base`` is the cleaned rows or one of the tables of ``recount``.
     """
     counted = F.sum("n_rows") if "n_rows" in base.columns else F.count(F.lit(1))
     rows = base.agg(counted.alias("n")).scalar()

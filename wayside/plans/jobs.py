@@ -61,38 +61,48 @@ from wayside.sources.tables import (
 def profile(df: DataFrame) -> dict[str, DataFrame]:
     """Temporal, geographic, severity and quality profile of the raw rows.
 
-    The six count tables come from one roll-up of the rows, computed once.
+    The five count tables come from one pass over the rows.
     """
     df = with_timestamps(df)
     if "Duration_min" not in df.columns:
         df = df.withColumn("Duration_min", minutes_between("Start_Time", "End_Time"))
     df = df.withColumns({"Year": F.year("Start_Time"), "Hour": F.hour("Start_Time")})
-    counts = materialize(
-        df.groupBy("Year", "Hour", "State", "City", "Severity").agg(
-            F.count(F.lit(1)).alias("n"),
+    sets = {
+        "by_year": ("Year",),
+        "top_hours": ("Hour",),
+        "top_states": ("State",),
+        "top_cities": ("State", "City"),
+        "severity": ("Severity",),
+    }
+    counts = agg.by_sets(
+        df,
+        sets,
+        [
+            F.count(F.lit(1)).alias("count"),
             F.count("ID").alias("n_id"),
             F.count("Duration_min").alias("n_dur"),
             F.sum("Duration_min").alias("sum_dur"),
-        )
+        ],
     )
 
-    def by(*cols: str) -> DataFrame:
-        known = reduce(lambda d, c: d.where(F.col(c).isNotNull()), cols, counts)
-        return known.groupBy(*cols).agg(F.sum("n").alias("count"))
+    def by(name: str) -> DataFrame:
+        known = reduce(lambda d, c: d.where(F.col(c).isNotNull()), sets[name], counts[name])
+        return known.select(*sets[name], "count")
 
-    def top(n: int, *cols: str) -> DataFrame:
-        return by(*cols).orderBy(F.col("count").desc(), *cols).limit(n)
+    def top(n: int, name: str) -> DataFrame:
+        return by(name).orderBy(F.col("count").desc(), *sets[name]).limit(n)
 
     return {
-        "by_year": by("Year"),
-        "top_hours": top(5, "Hour"),
-        "top_states": top(10, "State"),
-        "top_cities": top(10, "State", "City"),
-        "severity": counts.where(F.col("Severity").isNotNull())
-        .groupBy("Severity")
-        .agg(
-            F.sum("n_id").alias("count"),
-            ratio(F.sum("sum_dur"), F.sum("n_dur")).alias("avg_duration_min"),
+        "by_year": by("by_year"),
+        "top_hours": top(5, "top_hours"),
+        "top_states": top(10, "top_states"),
+        "top_cities": top(10, "top_cities"),
+        "severity": counts["severity"]
+        .where(F.col("Severity").isNotNull())
+        .select(
+            "Severity",
+            F.col("n_id").alias("count"),
+            ratio("sum_dur", "n_dur").alias("avg_duration_min"),
         ),
         "missing": top_missing(df, 10),
         "duplicate_ids": duplicate_count(df, ["ID"]),
@@ -156,35 +166,45 @@ def build_star(
 
 
 def build_aggregates(star: Star, settings: Settings = DEFAULT) -> dict[str, DataFrame]:
-    """The five dashboards from one roll-up of the star, computed once."""
-    base = materialize(agg.star_rollup(star, settings=settings))
-    return {
-        "agg_federal": agg.agg_federal(base, settings),
-        "agg_state_anomaly": agg.agg_state_anomaly(base, settings),
-        "agg_city_by_state": agg.agg_city_by_state(base, settings),
-        "agg_weather_by_state": agg.agg_weather_by_state(base, settings),
-        "agg_time_pattern": agg.agg_time_pattern(base, settings),
+    """The five dashboards from one pass over the fact."""
+    rolled = agg.star_rollups(star, settings=settings)
+    make = {
+        "agg_federal": agg.agg_federal,
+        "agg_state_anomaly": agg.agg_state_anomaly,
+        "agg_city_by_state": agg.agg_city_by_state,
+        "agg_weather_by_state": agg.agg_weather_by_state,
+        "agg_time_pattern": agg.agg_time_pattern,
     }
+    return {name: f(rolled[name], settings) for name, f in make.items()}
 
 
 def validate_outputs(
-    base: DataFrame, aggs: Mapping[str, DataFrame], settings: Settings = DEFAULT
+    base: DataFrame,
+    aggs: Mapping[str, DataFrame],
+    settings: Settings = DEFAULT,
+    pairs: Sequence[tuple[str, str]] | None = None,
+    states: Sequence[str] | None = None,
 ) -> DataFrame:
     """All findings on the aggregates and the cleaned rows.
 
-    The rows are recounted once for the three reconciliations.
+    The rows are recounted once for the three reconciliations. All groups are
+    compared, or the sample ``pairs`` of state and city and the sample ``states``.
     """
-    counts = materialize(recount(base, settings))
+    counts = recount(base, settings)
     parts = [
-        reconcile_city(aggs["agg_city_by_state"], counts, settings=settings),
-        reconcile_weather(aggs["agg_weather_by_state"], counts, settings=settings),
+        reconcile_city(
+            aggs["agg_city_by_state"], counts["city"], pairs, states, settings=settings
+        ),
+        reconcile_weather(
+            aggs["agg_weather_by_state"], counts["weather"], states, settings=settings
+        ),
         reconcile_totals(
             {
                 "agg_federal": aggs["agg_federal"],
                 "agg_city_by_state": aggs["agg_city_by_state"],
                 "agg_weather_by_state": aggs["agg_weather_by_state"],
             },
-            counts,
+            counts["city"],
         ),
         check_quality(base, settings),
     ]
