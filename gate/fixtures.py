@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayside.config import Settings
 from wayside.operators.cleaning import filter_years
-from wayside.operators.star import Star
+from wayside.operators.star import DIMENSIONS, Star
 from wayside.plans import jobs
 
 SETTINGS = Settings(start_year=1996, end_year=1999)
@@ -77,6 +77,6 @@ def cleaned_lean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(
-    spark: SparkSession, sf_dir: str, dims: Sequence[str] = jobs.DIMENSIONS
+    spark: SparkSession, sf_dir: str, dims: Sequence[str] = DIMENSIONS
 ) -> Star:
     return jobs.build_star(cleaned_lean(spark, sf_dir), SETTINGS, dims)

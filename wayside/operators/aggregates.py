@@ -34,9 +34,8 @@ from wayside.functions.temporal import (
 )
 from wayside.functions.text import categorize_text
 from wayside.operators.cleaning import present
-from wayside.operators.scale import MAX_BROADCAST_ROWS, is_small, running_total
+from wayside.operators.scale import MAX_BROADCAST_ROWS, by_sets, is_small, running_total
 from wayside.operators.star import Star, with_dominant_infra
-from wayside.session import materialize
 
 MEASURES = ("n_rows", "n_id", "n_high", "n_sev", "sum_sev", "sumsq_sev", "n_dur", "sum_dur")
 LOCATION_KEYS = ("State", "City", "dominant_infra")
@@ -76,33 +75,6 @@ def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) ->
     return df.groupBy(*keys).agg(*_measures(df, settings))
 
 
-def by_sets(
-    df: DataFrame, sets: Mapping[str, Sequence[str]], measures: Sequence[Column]
-) -> dict[str, DataFrame]:
-    """Several groupings of the same rows from one pass and one shuffle, computed once.
-
-    Each row is added up in every grouping before the shuffle, which then moves
-    only as many rows as there are groups, not their combinations.
-    """
-    cols = list(dict.fromkeys(c for keys in sets.values() for c in keys))
-    distinct = list(dict.fromkeys(tuple(keys) for keys in sets.values()))
-    grouped = df.groupingSets([[F.col(c) for c in keys] for keys in distinct], *cols).agg(
-        F.grouping_id(*cols).alias("__set"), *measures
-    )
-    once = materialize(grouped)
-
-    def number(keys: Sequence[str]) -> int:
-        # a bit per column, first column highest, set where the column is left out
-        return int("".join("0" if c in keys else "1" for c in cols), 2)
-
-    return {
-        name: once.where(F.col("__set") == number(keys)).drop(
-            "__set", *[c for c in cols if c not in keys]
-        )
-        for name, keys in sets.items()
-    }
-
-
 def _with_dimensions(
     star: Star, keys: Sequence[str], settings: Settings, max_broadcast_rows: int
 ) -> DataFrame:

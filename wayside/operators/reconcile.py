@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, RISK_LABELS, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
-from wayside.operators.aggregates import by_sets
 from wayside.operators.rules import finding
+from wayside.operators.scale import by_sets
 
 
 def _number(c: Column) -> Column:

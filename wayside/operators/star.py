@@ -13,7 +13,8 @@ from wayside.functions.numeric import dominant_feature, weighted_infra_score
 from wayside.functions.temporal import day_of_week
 from wayside.functions.text import categorize_text, location_key
 from wayside.operators.cleaning import add_duration, present, select_available, with_timestamps
-from wayside.operators.scale import broadcast_if_small, running_total
+from wayside.operators.scale import broadcast_if_small, by_sets, running_total
+from wayside.session import materialize
 
 FACT_COLS = (
     "ID",
@@ -28,6 +29,9 @@ FACT_COLS = (
 )
 
 
+DIMENSIONS = ("time", "location", "weather")
+
+
 @dataclass(frozen=True)
 class Star:
     """Fact and dimensions; a dimension nobody asked for is None."""
@@ -67,13 +71,7 @@ def surrogate_id(df: DataFrame, first_seen: str, key: str, prefix: str, out: str
 
 def build_dim_time(df: DataFrame, ts: str = "Start_Time") -> DataFrame:
     days = with_timestamps(df, [ts]).select(F.to_date(ts).alias("Date")).distinct()
-    return days.select(
-        "Date",
-        F.dayofmonth("Date").alias("Day"),
-        F.month("Date").alias("Month"),
-        F.quarter("Date").alias("Quarter"),
-        F.year("Date").alias("Year"),
-    )
+    return _dim_time(days)
 
 
 def build_dim_location(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -83,25 +81,74 @@ def build_dim_location(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     hash aggregate and leaves little to shuffle; 'first non-null' is then
     picked among those combinations.
     """
-    places, flags = present(df, PLACE_COLS), present(df, INFRA_COLS)
-    keyed = df.select(
-        location_key(settings.location_cols, settings.location_sep).alias("Location_id"),
-        *places,
-        *flags,
-        row_order(df).alias("__seq"),
+    places = present(df, PLACE_COLS)
+    rows = _keyed(df, settings)
+    return _dim_location(rows.groupBy("Location_id", *places).agg(*_seen(rows)), places)
+
+
+def build_dim_weather(df: DataFrame) -> DataFrame:
+    seen = df.groupBy("Weather_Condition").agg(F.min(row_order(df)).alias("__seq"))
+    return _dim_weather(seen)
+
+
+def build_dimensions(
+    df: DataFrame, settings: Settings = DEFAULT, dims: Sequence[str] = DIMENSIONS
+) -> dict[str, DataFrame]:
+    """The wanted dimensions by table name, from one pass over the rows."""
+    places = present(df, PLACE_COLS)
+    sets = {
+        "dim_time": ("Date",),
+        "dim_location": ("Location_id", *places),
+        "dim_weather": ("Weather_Condition",),
+    }
+    sets = {name: keys for name, keys in sets.items() if name.removeprefix("dim_") in dims}
+    if not sets:
+        return {}
+    rows = _keyed(with_timestamps(df), settings)
+    seen = by_sets(rows, sets, _seen(rows))
+    make = {
+        "dim_time": lambda days: _dim_time(days.select("Date")),
+        "dim_location": lambda combos: materialize(_dim_location(combos, places)),
+        "dim_weather": lambda texts: _dim_weather(texts.select("Weather_Condition", "__seq")),
+    }
+    return {name: make[name](found) for name, found in seen.items()}
+
+
+def _keyed(df: DataFrame, settings: Settings) -> DataFrame:
+    return df.withColumns(
+        {
+            "Location_id": location_key(settings.location_cols, settings.location_sep),
+            "Date": F.to_date("Start_Time") if "Start_Time" in df.columns else F.lit(None),
+            "__seq": row_order(df),
+        }
     )
-    combos = keyed.groupBy("Location_id", *places).agg(
-        F.min("__seq").alias("__seq"), *[F.count_if(F.col(c)).alias(c) for c in flags]
+
+
+def _seen(df: DataFrame) -> list[Column]:
+    flags = present(df, INFRA_COLS)
+    return [F.min("__seq").alias("__seq"), *[F.count_if(F.col(c)).alias(c) for c in flags]]
+
+
+def _dim_time(days: DataFrame) -> DataFrame:
+    return days.select(
+        "Date",
+        F.dayofmonth("Date").alias("Day"),
+        F.month("Date").alias("Month"),
+        F.quarter("Date").alias("Quarter"),
+        F.year("Date").alias("Year"),
     )
+
+
+def _dim_location(combos: DataFrame, places: Sequence[str]) -> DataFrame:
+    flags = present(combos, INFRA_COLS)
     return combos.groupBy("Location_id").agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("__seq"))).alias(c) for c in places],
         *[F.sum(c).alias(c) for c in flags],
     )
 
 
-def build_dim_weather(df: DataFrame) -> DataFrame:
-    seen = df.groupBy("Weather_Condition").agg(F.min(row_order(df)).alias("__first"))
-    return surrogate_id(seen, "__first", "Weather_Condition", "W", "weather_id").select(
+def _dim_weather(seen: DataFrame) -> DataFrame:
+    return surrogate_id(seen, "__seq", "Weather_Condition", "W", "weather_id").select(
         "weather_id", "Weather_Condition"
     )
 

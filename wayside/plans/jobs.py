@@ -41,13 +41,11 @@ from wayside.operators.reconcile import (
 )
 from wayside.operators.rules import check_quality, check_rules, check_star, raise_failures
 from wayside.operators.star import (
+    DIMENSIONS,
     Star,
-    build_dim_location,
-    build_dim_time,
-    build_dim_weather,
+    build_dimensions,
     build_fact,
 )
-from wayside.session import materialize
 from wayside.sources.tables import (
     read_incidents,
     read_star,
@@ -144,25 +142,16 @@ def clean_report(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-DIMENSIONS = ("time", "location", "weather")
-
-
 def build_star(
     df: DataFrame, settings: Settings = DEFAULT, dims: Sequence[str] = DIMENSIONS
 ) -> Star:
     """Three dimensions and the fact of a cleaned table.
 
-    The dimensions are computed at once and kept, so that joining or checking
-    them does not repeat their pass over the rows; ``dims`` names the wanted
-    ones. The fact stays lazy.
+    The dimensions come from one pass over the rows, which runs at once and is
+    kept; ``dims`` names the wanted ones. The fact stays lazy.
     """
-    weather = materialize(build_dim_weather(df)) if "weather" in dims else None
-    return Star(
-        accident_detail=build_fact(df, weather, settings),
-        dim_time=materialize(build_dim_time(df)) if "time" in dims else None,
-        dim_location=materialize(build_dim_location(df, settings)) if "location" in dims else None,
-        dim_weather=weather,
-    )
+    built = build_dimensions(df, settings, dims)
+    return Star(accident_detail=build_fact(df, built.get("dim_weather"), settings), **built)
 
 
 def build_aggregates(star: Star, settings: Settings = DEFAULT) -> dict[str, DataFrame]:
@@ -218,12 +207,6 @@ def at_once(tasks: Sequence[Callable[[], None]], threads: int = 4) -> None:
             done.result()
 
 
-def _write_dim(
-    name: str, build: Callable[[DataFrame], DataFrame], cleaned: DataFrame, path: str
-) -> None:
-    write_small(name, build(cleaned), path)
-
-
 @dataclass(frozen=True)
 class EtlResult:
     cleaned: DataFrame
@@ -262,14 +245,8 @@ def run_etl(
     raise_failures(check_rules(cleaned, "cleaner", cleaner_gate_rules(settings)))
 
     paths = star_paths(out)
-    dims = {
-        "dim_time": build_dim_time,
-        "dim_location": lambda df: build_dim_location(df, settings),
-        "dim_weather": build_dim_weather,
-    }
-    at_once(
-        [partial(_write_dim, name, build, cleaned, paths[name]) for name, build in dims.items()]
-    )
+    dims = build_dimensions(cleaned, settings)
+    at_once([partial(write_small, name, dim, paths[name]) for name, dim in dims.items()])
     write_table(
         build_fact(cleaned, read_table(spark, paths["dim_weather"]), settings),
         paths["accident_detail"],
