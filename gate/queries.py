@@ -176,6 +176,19 @@ def p5(spark, sf):
     )
 
 
+@register(
+    "p5_impute_exploratory",
+    f"""SELECT "ID", coalesce({T}, (SELECT median({T}) FROM incidents)) AS {T},
+ coalesce({V}, (SELECT median({V}) FROM incidents)) AS {V}, coalesce({P}, 0.0) AS {P},
+ coalesce("City", 'Unknown') AS "City",
+ coalesce("Weather_Condition", 'Unknown') AS "Weather_Condition" FROM incidents""",
+)
+def p5_exploratory(spark, sf):
+    return cl.impute_exploratory(fx.incidents(spark, sf)).select(
+        "ID", TEMP, VIS, RAIN, "City", "Weather_Condition"
+    )
+
+
 @register(
     "p6_impute_from_column",
     f'SELECT "ID", {T}, coalesce({V}, {T}) AS {V} FROM incidents',
@@ -1083,23 +1096,32 @@ def q3(spark, sf):
     return pf.distinct_profile(fx.incidents(spark, sf))
 
 
+def _range_sql(cols, source):
+    return "\nUNION ALL\n".join(
+        f'SELECT {o.lit(c)} AS "column", CAST(min({o.ident(c)}) AS DOUBLE) AS "min",'
+        f' CAST(max({o.ident(c)}) AS DOUBLE) AS "max",'
+        f" round_even((count(*) FILTER (WHERE {o.ident(c)} IS NULL))::DOUBLE / count(*) * 100, 6)"
+        f" AS null_pct FROM {source}"
+        for c in cols
+    )
+
+
 _NUMERIC = ["row_seq", "Severity", TEMP, VIS, RAIN]
 
 
 @register(
     "q4_range_profile",
-    "\nUNION ALL\n".join(
-        f'SELECT {o.lit(c)} AS "column", CAST(min({o.ident(c)}) AS DOUBLE) AS "min",'
-        f' CAST(max({o.ident(c)}) AS DOUBLE) AS "max",'
-        f" round_even((count(*) FILTER (WHERE {o.ident(c)} IS NULL))::DOUBLE / count(*) * 100, 6)"
-        f" AS null_pct FROM incidents"
-        for c in _NUMERIC
-    ),
+    _range_sql(_NUMERIC, "incidents"),
 )
 def q4(spark, sf):
     return rounded(pf.range_profile(fx.incidents(spark, sf)), 6, "null_pct")
 
 
+@register("q4_sanity_check", _range_sql(["Duration_min", "Severity"], "cleaned"))
+def q4_sanity(spark, sf):
+    return rounded(pf.sanity_check(fx.cleaned_lean(spark, sf)), 6, "null_pct")
+
+
 _PROFILED = [
     ("ID", "string"), ("Severity", "int"), ("Start_Time", "timestamp_ntz"), ("City", "string"),
     ("State", "string"), ("Weather_Condition", "string"), ("Amenity", "boolean"),

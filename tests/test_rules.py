@@ -163,6 +163,37 @@ def test_two_part_key_moves_states_and_three_part_key_does_not(spark):
     assert city_findings(spark, full).where(~F.col("passed")).count() == 0
 
 
+def test_exploratory_fills(spark):
+    df = spark.createDataFrame(
+        [(10.0, None, None, None, "a"), (None, 5.0, "NE", 2.0, None), (30.0, 7.0, None, None, "b")],
+        "`Temperature(F)` double, `Wind_Chill(F)` double, Wind_Direction string,"
+        " `Precipitation(in)` double, Weather_Condition string",
+    )
+    got = sorted(tuple(r) for r in cl.impute_exploratory(df).collect())
+    assert got == [
+        (10.0, 10.0, "Unknown", 0.0, "a"),
+        (20.0, 5.0, "NE", 2.0, "Unknown"),
+        (30.0, 7.0, "Unknown", 0.0, "b"),
+    ]
+
+
+def test_wind_directions(spark):
+    df = spark.createDataFrame([("N",), ("Calm",), ("north",), (None,)], "Wind_Direction string")
+    bad = cl.rows_outside_domain(df, "Wind_Direction", cfg.WIND_DIRECTIONS)
+    assert sorted(r[0] or "" for r in bad.collect()) == ["", "north"]
+
+
+def test_sample_validation(spark):
+    df = fx.cleaned_lean(spark, SF_SMALL)
+    aggs = jobs.build_aggregates(jobs.build_star(df, SETTINGS), SETTINGS)
+    every = jobs.validate_outputs(df, aggs, SETTINGS)
+    some = jobs.validate_outputs(df, aggs, SETTINGS, [("CHINA", "BUILDING")], ["CHINA"])
+    assert 0 < some.count() < every.count()
+    assert set(some.select("stage").distinct().toPandas()["stage"]) == set(
+        every.select("stage").distinct().toPandas()["stage"]
+    )
+
+
 def test_reconcile_samples(spark):
     base = spark.createDataFrame(
         [("1", "CA", "Los Angeles", 3), ("2", "CA", "Los Angeles", 1), ("3", "CA", "Fresno", 1)],

@@ -152,6 +152,32 @@ SEVERITY_LABELS = ((1, "Minor"), (2, "Moderate"), (3, "Serious"), (4, "Severe"))
 ANOMALY_LABELS = ("Critical", "High", "Elevated", "Normal")
 RISK_LABELS = ("Extreme", "High", "Moderate", "Low")
 
+# The exploratory variant of filling missing values.
+EXPLORATORY_FILLS = {
+    "Weather_Condition": "Unknown",
+    "City": "Unknown",
+    "Wind_Direction": "Unknown",
+    "Sunrise_Sunset": "Unknown",
+    "Civil_Twilight": "Unknown",
+    "Nautical_Twilight": "Unknown",
+    "Astronomical_Twilight": "Unknown",
+    "Precipitation(in)": 0.0,
+}
+EXPLORATORY_MEDIANS = (
+    "Temperature(F)", "Distance(mi)", "Humidity(%)", "Pressure(in)", "Visibility(mi)",
+    "Wind_Speed(mph)",
+)
+EXPLORATORY_SIBLINGS = (
+    ("Wind_Chill(F)", "Temperature(F)"),
+    ("Weather_Timestamp", "Start_Time"),
+)
+
+# Columns whose range is looked at after every stage.
+SANITY_COLS = (
+    "Duration_min", "Severity", "severity_impact_pct", "duration_impact_pct", "pct_of_national",
+    "pct_of_state",
+)
+
 # Allowed wind directions.
 WIND_DIRECTIONS = (
     "N", "S", "E", "W", "NE", "NW", "SE", "SW",

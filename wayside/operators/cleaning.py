@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayside.config import DEFAULT, SENSOR_COLS
+from wayside.config import (
+    DEFAULT,
+    EXPLORATORY_FILLS,
+    EXPLORATORY_MEDIANS,
+    EXPLORATORY_SIBLINGS,
+    SENSOR_COLS,
+)
 from wayside.functions.numeric import bin_label, clip_to, percent
 from wayside.functions.temporal import (
     DATETIME_PATTERN,
@@ -99,6 +105,15 @@ def impute_from_column(df: DataFrame, target: str, source: str) -> DataFrame:
     )
 
 
+def impute_exploratory(df: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """The exploratory variant: medians, constants, then sibling columns."""
+    filled = impute_constant(impute_median(df, EXPLORATORY_MEDIANS, accuracy), EXPLORATORY_FILLS)
+    for target, source in EXPLORATORY_SIBLINGS:
+        if target in filled.columns and source in filled.columns:
+            filled = impute_from_column(filled, target, source)
+    return filled
+
+
 # ---------------------------------------------------------------- capping
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayside.config import SANITY_COLS
 from wayside.functions.numeric import percent
 from wayside.operators.scale import (
     exact_quantiles,
@@ -85,6 +86,11 @@ def range_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return unpivot_stats(one, cols, {"min": "min", "max": "max", "null_pct": "null_pct"})
 
 
+def sanity_check(df: DataFrame) -> DataFrame:
+    """The range profile of the columns that tend to go wrong, as far as present."""
+    return range_profile(df, SANITY_COLS)
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Position, type, non-null values and the first value seen, per column.
 
