@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, Settings
 from wayside.functions.numeric import percent, ratio, round_even
 from wayside.operators.profiling import q
-from wayside.operators.scale import scalar_struct, value_counts_long
-from wayside.operators.star import Star, orphan_count
+from wayside.operators.scale import by_sets, scalar_struct, value_counts_long
+from wayside.operators.star import Star, orphan_count, orphan_totals
 
 FINDING_COLS = ("passed", "stage", "column", "check", "expected", "actual", "message")
 
@@ -259,32 +259,37 @@ def referential_integrity(
 
 
 def check_star(star: Star, settings: Settings = DEFAULT) -> DataFrame:
-    """Orphans on the three keys (distinct days, else rows), and the duration cap."""
-    fact = star.accident_detail
-    found = []
-    for dim, fk, pk, counted in (
+    """Orphans on the three keys (distinct days, else rows), and the duration cap.
+
+    The fact is counted per key, for all keys in one pass, before it meets a dimension.
+    """
+    keys = (
         (star.dim_time, "full_date", "Date", "orphan_keys"),
         (star.dim_location, "Location_id", "Location_id", "orphan_rows"),
         (star.dim_weather, "weather_id", "weather_id", "orphan_rows"),
-    ):
-        lost = orphan_count(fact, dim, fk, pk)
-        found.append(
-            lost.select(
-                F.inline(
-                    F.array(
-                        finding(
-                            "star", fk, "orphans", F.col(counted) == 0,
-                            "0", F.col(counted).cast("string"), "orphans:",
-                        )
+    )
+    seen = by_sets(
+        star.accident_detail,
+        {fk: (fk,) for _, fk, _, _ in keys},
+        [F.count(F.lit(1)).alias("n"), F.max("Duration_min").alias("longest")],
+    )
+    found = [
+        orphan_totals(seen[fk], dim, fk, pk, "n").select(
+            F.inline(
+                F.array(
+                    finding(
+                        "star", fk, "orphans", F.col(counted) == 0,
+                        "0", F.col(counted).cast("string"), "orphans:",
                     )
                 )
             )
         )
-    longest = fact.agg(F.max("Duration_min").alias("m"))
+        for dim, fk, pk, counted in keys
+    ]
     # no duration at all is no duration above the cap
     capped = F.coalesce(F.col("m") <= settings.duration_max_min, F.lit(True))
     found.append(
-        longest.select(
+        seen["full_date"].agg(F.max("longest").alias("m")).select(
             F.inline(
                 F.array(
                     finding(

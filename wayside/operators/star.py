@@ -235,9 +235,15 @@ def orphan_count(
     counted = fact.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
     if skip_null:
         counted = counted.where(F.col("__fk").isNotNull())
-    lost = orphans(counted, dim, "__fk", pk)
-    return lost.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"),
+    return orphan_totals(counted, dim, "__fk", pk, "__n")
+
+
+def orphan_totals(
+    counted: DataFrame, dim: DataFrame, fk: str, pk: str, n: str
+) -> DataFrame:
+    """``orphan_count`` of a fact that is already counted per key."""
+    return orphans(counted, dim, fk, pk).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("orphan_rows"),
         F.count(F.lit(1)).alias("orphan_keys"),
     )
 
