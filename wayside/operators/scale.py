@@ -4,8 +4,8 @@ A running total or an exact quantile needs a global order. A window without a
 partition key sends all rows to one task, and ``percentile`` keeps all distinct
 values of a column in one buffer. Both are used only on a table counted to be small.
 Beyond that Spark range-partitions the rows, the result with its range number is
-checkpointed (so the ranges cannot move), every range is summed on its own, and
-the range totals, one row per shuffle partition, give each range its offset.
+written (so the ranges cannot move), every range is summed on its own, and the
+range totals, one row per shuffle partition, give each range its offset.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ MAX_ONE_TASK_ROWS = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counted, not estimated; cheap on a file or a checkpoint."""
+    """Counted, not estimated; cheap on a written table."""
     return df.count() <= max_rows
 
 

@@ -118,7 +118,7 @@ def _keyed(df: DataFrame, settings: Settings) -> DataFrame:
     return df.withColumns(
         {
             "Location_id": location_key(settings.location_cols, settings.location_sep),
-            "Date": F.to_date("Start_Time") if "Start_Time" in df.columns else F.lit(None),
+            "Date": F.to_date("Start_Time" if "Start_Time" in df.columns else F.lit(None)),
             "__seq": row_order(df),
         }
     )

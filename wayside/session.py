@@ -50,8 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once: write it to the shared folder and read it back.
+
+    A written table survives lost executors, has a known size, and gives later
+    filters and column choices to the scan.
+    """
+    path = scratch_path(df.sparkSession, "part")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
