@@ -38,7 +38,7 @@ HEADLINE = (
     "a9_build_fact",
     "a15_pareto",
     "w2_running_share",
-    "c1a_categorize_config",
+    "c1a_categorize_aggregate",
     "d1_add_time_features",
     "q1_null_profile",
     "q2_duplicate_rows",

@@ -8,15 +8,15 @@ from typing import Any
 from gate.fixtures import INCIDENTS_SQL, RAW_TIMES_SQL, SETTINGS
 from wayside.config import (
     FOG_WORDS,
-    HOURS_AGG,
-    HOURS_TRANSFORMS,
+    HOURS_DASHBOARD,
+    HOURS_CLEANING,
     INFRA_WEIGHTS,
     RAIN_WORDS,
     RUSH_HOURS,
     SNOW_WORDS,
     WEATHER_BASE_RISK,
-    WEATHER_RULES_CONFIG,
-    WEATHER_RULES_TRANSFORMS,
+    WEATHER_RULES_AGGREGATE,
+    WEATHER_RULES_CLEANING,
     HourScheme,
 )
 
@@ -162,10 +162,10 @@ SELECT *, {clip(minutes('"Start_Time"', '"End_Time"'), 0.0, 1440.0)} AS "Duratio
  CAST(month("Start_Time") AS INT) AS "Month", CAST(day("Start_Time") AS INT) AS "Day",
  {HOUR} AS "Hour", {WEEKDAY} AS "DayOfWeek", dayname("Start_Time") AS "DayName",
  CAST(quarter("Start_Time") AS INT) AS "Quarter",
- {hours('hour("Start_Time")', HOURS_TRANSFORMS)} AS "Time_Period",
+ {hours('hour("Start_Time")', HOURS_CLEANING)} AS "Time_Period",
  {flag(f'hour("Start_Time") IN ({RUSH})')} AS "Is_Rush_Hour",
  {flag('isodow("Start_Time") >= 6')} AS "Is_Weekend",
- {category(w, WEATHER_RULES_TRANSFORMS)} AS "Weather_Category",
+ {category(w, WEATHER_RULES_CLEANING)} AS "Weather_Category",
  {flag(any_word(w, RAIN_WORDS))} AS "Is_Rain", {flag(any_word(w, SNOW_WORDS))} AS "Is_Snow",
  {flag(any_word(w, FOG_WORDS))} AS "Is_Fog",
  {flag('"Visibility(mi)" < 1')} AS "Low_Visibility",
@@ -202,7 +202,7 @@ SELECT f.*, t."Date", t."Day", t."Month", t."Quarter", t."Year",
  l."Street", l."City", l."County", l."State", l."Timezone",
  l."Junction", l."Traffic_Signal", l."Crossing", l."Stop", l."Amenity", w."Weather_Condition",
  {HOUR} AS "Hour", {WEEKDAY} AS "DayOfWeek",
- {category('"Weather_Condition"', WEATHER_RULES_CONFIG)} AS "Weather_Category",
+ {category('"Weather_Condition"', WEATHER_RULES_AGGREGATE)} AS "Weather_Category",
  CAST({WEIGHTED} AS BIGINT) AS "Infra_Score", {dominant()} AS dominant_infra
 FROM fact f LEFT JOIN dim_time t ON f.full_date = t."Date"
  LEFT JOIN dim_location l ON f."Location_id" = l."Location_id"
@@ -287,7 +287,7 @@ SELECT "Hour", "DayOfWeek", total_accidents, {r('avg_severity')} AS avg_severity
  ['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday']["DayOfWeek" + 1]
    AS "DayName",
  {flag(f'"Hour" IN ({RUSH})')} AS is_rush_hour, {flag('"DayOfWeek" >= 5')} AS is_weekend,
- {hours('"Hour"', HOURS_AGG)} AS time_period,
+ {hours('"Hour"', HOURS_DASHBOARD)} AS time_period,
  {r('total_accidents::DOUBLE / max(total_accidents) OVER () * 10', 1)} AS hotspot_score
 FROM (SELECT "Hour", "DayOfWeek", {_BASICS} FROM joined GROUP BY 1, 2) a"""
 

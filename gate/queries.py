@@ -99,7 +99,7 @@ def star_counts(star: st.Star) -> DataFrame:
 @register(
     "s3_read_cleaned",
     f"""SELECT "ID", "Weather_Condition",
- {o.category('"Weather_Condition"', cfg.WEATHER_RULES_VALIDATOR)} AS "Weather_Category"
+ {o.category('"Weather_Condition"', cfg.WEATHER_RULES_CHECKING)} AS "Weather_Category"
 FROM incidents""",
 )
 def s3(spark, sf):
@@ -839,10 +839,10 @@ def _category(name, rules, default="Clear", null_as=None):
         )
 
 
-_category("c1a_categorize_config", cfg.WEATHER_RULES_CONFIG)
-_category("c1b_categorize_transforms", cfg.WEATHER_RULES_TRANSFORMS)
-_category("c1c_categorize_validator", cfg.WEATHER_RULES_VALIDATOR)
-_category("c1d_categorize_utils", cfg.WEATHER_RULES_UTILS, "Other", "Clear")
+_category("c1a_categorize_aggregate", cfg.WEATHER_RULES_AGGREGATE)
+_category("c1b_categorize_cleaning", cfg.WEATHER_RULES_CLEANING)
+_category("c1c_categorize_checking", cfg.WEATHER_RULES_CHECKING)
+_category("c1d_categorize_broad", cfg.WEATHER_RULES_BROAD, "Other", "Clear")
 
 
 @register(
@@ -850,8 +850,8 @@ _category("c1d_categorize_utils", cfg.WEATHER_RULES_UTILS, "Other", "Clear")
     f"""SELECT "ID", {o.flag(o.any_word(_W, cfg.RAIN_WORDS))} AS "Is_Rain",
  {o.flag(o.any_word(_W, cfg.SNOW_WORDS))} AS "Is_Snow",
  {o.flag(o.any_word(_W, cfg.FOG_WORDS))} AS "Is_Fog",
- {o.flag(o.any_word(_W, cfg.SNOW_WORDS_NOTEBOOK))} AS "Is_Snow_short",
- {o.flag(o.any_word(_W, cfg.FOG_WORDS_NOTEBOOK))} AS "Is_Fog_short" FROM incidents""",
+ {o.flag(o.any_word(_W, cfg.SNOW_WORDS_SHORT))} AS "Is_Snow_short",
+ {o.flag(o.any_word(_W, cfg.FOG_WORDS_SHORT))} AS "Is_Fog_short" FROM incidents""",
 )
 def c2(spark, sf):
     w = "Weather_Condition"
@@ -860,8 +860,8 @@ def c2(spark, sf):
         tx.keyword_flag(w, cfg.RAIN_WORDS).alias("Is_Rain"),
         tx.keyword_flag(w, cfg.SNOW_WORDS).alias("Is_Snow"),
         tx.keyword_flag(w, cfg.FOG_WORDS).alias("Is_Fog"),
-        tx.keyword_flag(w, cfg.SNOW_WORDS_NOTEBOOK).alias("Is_Snow_short"),
-        tx.keyword_flag(w, cfg.FOG_WORDS_NOTEBOOK).alias("Is_Fog_short"),
+        tx.keyword_flag(w, cfg.SNOW_WORDS_SHORT).alias("Is_Snow_short"),
+        tx.keyword_flag(w, cfg.FOG_WORDS_SHORT).alias("Is_Fog_short"),
     )
 
 
@@ -877,7 +877,7 @@ _TIME_COLS = [
  CAST(month("Start_Time") AS INT) AS "Month", CAST(day("Start_Time") AS INT) AS "Day",
  {o.HOUR} AS "Hour", {o.WEEKDAY} AS "DayOfWeek", dayname("Start_Time") AS "DayName",
  CAST(quarter("Start_Time") AS INT) AS "Quarter",
- {o.hours('hour("Start_Time")', cfg.HOURS_TRANSFORMS)} AS "Time_Period",
+ {o.hours('hour("Start_Time")', cfg.HOURS_CLEANING)} AS "Time_Period",
  {o.flag(f'hour("Start_Time") IN ({o.RUSH})')} AS "Is_Rush_Hour",
  {o.flag('isodow("Start_Time") >= 6')} AS "Is_Weekend" FROM incidents""",
 )
@@ -895,18 +895,18 @@ _H = 'hour("Start_Time")'
 
 @register(
     "d3_hour_bucket",
-    f"""SELECT "ID", {o.hours(_H, cfg.HOURS_TRANSFORMS)} AS by_transforms,
- {o.hours(_H, cfg.HOURS_AGG)} AS by_agg, {o.hours(_H, cfg.HOURS_UTILS)} AS by_utils,
- {o.hours(_H, cfg.HOURS_NOTEBOOK)} AS by_notebook FROM incidents""",
+    f"""SELECT "ID", {o.hours(_H, cfg.HOURS_CLEANING)} AS by_cleaning,
+ {o.hours(_H, cfg.HOURS_DASHBOARD)} AS by_dashboard, {o.hours(_H, cfg.HOURS_BROAD)} AS by_broad,
+ {o.hours(_H, cfg.HOURS_EXPLORATORY)} AS by_exploratory FROM incidents""",
 )
 def d3(spark, sf):
     h = F.hour("Start_Time")
     return fx.incidents(spark, sf).select(
         "ID",
-        tm.hour_bucket(h, cfg.HOURS_TRANSFORMS).alias("by_transforms"),
-        tm.hour_bucket(h, cfg.HOURS_AGG).alias("by_agg"),
-        tm.hour_bucket(h, cfg.HOURS_UTILS).alias("by_utils"),
-        tm.hour_bucket(h, cfg.HOURS_NOTEBOOK).alias("by_notebook"),
+        tm.hour_bucket(h, cfg.HOURS_CLEANING).alias("by_cleaning"),
+        tm.hour_bucket(h, cfg.HOURS_DASHBOARD).alias("by_dashboard"),
+        tm.hour_bucket(h, cfg.HOURS_BROAD).alias("by_broad"),
+        tm.hour_bucket(h, cfg.HOURS_EXPLORATORY).alias("by_exploratory"),
     )
 
 
@@ -1002,7 +1002,7 @@ _scalar(
     f"round_even(coalesce(({T} - {V}) / nullif({P}, 0), 0), 6) AS z",
     lambda: [num.round_even(num.z_score(TEMP, VIS, RAIN), 6).alias("z")],
 )
-_CAT = o.category(_W, cfg.WEATHER_RULES_CONFIG)
+_CAT = o.category(_W, cfg.WEATHER_RULES_AGGREGATE)
 
 
 @register(
@@ -1013,7 +1013,7 @@ FROM (SELECT *, {_CAT} AS c FROM incidents) i""",
 )
 def m7(spark, sf):
     df = fx.incidents(spark, sf).withColumn(
-        "c", tx.categorize_text("Weather_Condition", cfg.WEATHER_RULES_CONFIG)
+        "c", tx.categorize_text("Weather_Condition", cfg.WEATHER_RULES_AGGREGATE)
     )
     wide = F.col(VIS) * 10
     unknown = F.concat("c", "Description")
@@ -1346,7 +1346,7 @@ _SIGNS = """(SELECT count(*) FILTER (WHERE "Weather_Category" = 'Clear'
  count(*) FILTER (WHERE severity_increase_pct < 0) AS neg,
  count(*) FILTER (WHERE risk_category NOT IN ('Extreme', 'High', 'Moderate', 'Low')) AS odd
 FROM agg_weather_by_state) x"""
-_RULE = o.category('"Weather_Condition"', cfg.WEATHER_RULES_CONFIG)
+_RULE = o.category('"Weather_Condition"', cfg.WEATHER_RULES_AGGREGATE)
 _WEATHER_SQL = "\nUNION ALL\n".join(
     [
         o.finding(

@@ -51,16 +51,16 @@ def test_flags_give_zero_for_null(spark):
 def test_weather_rule_order_decides(spark):
     texts = [("Patches of Fog / Rain",), ("Cloudy / Windy",), ("Fair",), ("Sunny",), (None,)]
     df = one(spark, "w string", texts)
-    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_CONFIG)) == [
+    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_AGGREGATE)) == [
         "Foggy", "Windy", "Clear", "Clear", "Clear",
     ]
-    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_TRANSFORMS)) == [
+    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_CLEANING)) == [
         "Rainy", "Cloudy", "Clear", "Clear", "Clear",
     ]
-    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_VALIDATOR)) == [
+    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_CHECKING)) == [
         "Fog", "Cloudy", "Clear", "Clear", "Clear",
     ]
-    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_UTILS, "Other", "Clear")) == [
+    assert values(df, tx.categorize_text("w", cfg.WEATHER_RULES_BROAD, "Other", "Clear")) == [
         "Rain", "Cloudy", "Clear", "Other", "Clear",
     ]
 
@@ -68,12 +68,12 @@ def test_weather_rule_order_decides(spark):
 @pytest.mark.parametrize(
     "scheme, at",
     [
-        (cfg.HOURS_TRANSFORMS, {5: "Night", 6: "Morning_Rush", 9: "Late_Morning", 12: "Lunch",
+        (cfg.HOURS_CLEANING, {5: "Night", 6: "Morning_Rush", 9: "Late_Morning", 12: "Lunch",
                                 14: "Afternoon", 17: "Evening_Rush", 20: "Night"}),
-        (cfg.HOURS_AGG, {9: "Morning", 13: "Lunch", 20: "Night"}),
-        (cfg.HOURS_UTILS, {0: "Night", 12: "Afternoon", 15: "Evening_Rush", 18: "Evening",
+        (cfg.HOURS_DASHBOARD, {9: "Morning", 13: "Lunch", 20: "Night"}),
+        (cfg.HOURS_BROAD, {0: "Night", 12: "Afternoon", 15: "Evening_Rush", 18: "Evening",
                            21: "Late_Night"}),
-        (cfg.HOURS_NOTEBOOK, {6: "Morning_Rush", 9: "Day", 16: "Day", 17: "Evening_Rush",
+        (cfg.HOURS_EXPLORATORY, {6: "Morning_Rush", 9: "Day", 16: "Day", 17: "Evening_Rush",
                               20: "Night"}),
     ],
 )

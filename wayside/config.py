@@ -32,28 +32,28 @@ INFRA_COLS_WIDE = ("Amenity", "Crossing", "Junction", "Railway", "Station", "Sto
 # ---------------------------------------------------------------- weather texts
 
 # Fixed values: (category, keywords), first match wins, so order matters.
-WEATHER_RULES_CONFIG = (
+WEATHER_RULES_AGGREGATE = (
     ("Foggy", ("fog", "mist", "haze")),
     ("Snowy", ("snow", "ice", "sleet", "freezing")),
     ("Rainy", ("rain", "drizzle", "shower")),
     ("Windy", ("wind", "storm", "thunder")),
     ("Cloudy", ("cloud", "overcast")),
 )
-WEATHER_RULES_TRANSFORMS = (
+WEATHER_RULES_CLEANING = (
     ("Rainy", ("rain", "drizzle", "shower")),
     ("Snowy", ("snow", "ice", "sleet", "freezing")),
     ("Foggy", ("fog", "mist", "haze")),
     ("Cloudy", ("cloud", "overcast")),
     ("Windy", ("wind", "storm", "thunder")),
 )
-WEATHER_RULES_VALIDATOR = (
+WEATHER_RULES_CHECKING = (
     ("Fog", ("fog", "mist", "haze")),
     ("Snow", ("snow", "ice", "sleet", "freezing")),
     ("Rain", ("rain", "drizzle", "shower")),
     ("Cloudy", ("cloud", "overcast")),
     ("Windy", ("wind", "storm", "thunder")),
 )
-WEATHER_RULES_UTILS = (
+WEATHER_RULES_BROAD = (
     ("Clear", ("clear", "fair")),
     ("Rain", ("rain", "drizzle", "shower")),
     ("Snow", ("snow", "sleet", "ice", "freezing")),
@@ -67,8 +67,8 @@ WEATHER_RULES_UTILS = (
 RAIN_WORDS = ("rain", "drizzle")
 SNOW_WORDS = ("snow", "ice", "sleet")
 FOG_WORDS = ("fog", "mist", "haze")
-SNOW_WORDS_NOTEBOOK = ("snow", "ice")
-FOG_WORDS_NOTEBOOK = ("fog", "mist")
+SNOW_WORDS_SHORT = ("snow", "ice")
+FOG_WORDS_SHORT = ("fog", "mist")
 
 # Base risk per weather category, and the display order.
 WEATHER_BASE_RISK = (
@@ -93,7 +93,7 @@ class HourScheme:
 
 
 # The four hour schemes.
-HOURS_TRANSFORMS = HourScheme(
+HOURS_CLEANING = HourScheme(
     (
         (6, 9, "Morning_Rush"),
         (9, 12, "Late_Morning"),
@@ -103,7 +103,7 @@ HOURS_TRANSFORMS = HourScheme(
     ),
     "Night",
 )
-HOURS_AGG = HourScheme(
+HOURS_DASHBOARD = HourScheme(
     (
         (6, 9, "Morning_Rush"),
         (9, 12, "Morning"),
@@ -113,7 +113,7 @@ HOURS_AGG = HourScheme(
     ),
     "Night",
 )
-HOURS_UTILS = HourScheme(
+HOURS_BROAD = HourScheme(
     (
         (0, 6, "Night"),
         (6, 9, "Morning_Rush"),
@@ -124,7 +124,7 @@ HOURS_UTILS = HourScheme(
     ),
     "Late_Night",
 )
-HOURS_NOTEBOOK = HourScheme(
+HOURS_EXPLORATORY = HourScheme(
     (
         (6, 9, "Morning_Rush"),
         (9, 17, "Day"),
@@ -211,8 +211,8 @@ class Settings:
     low_visibility: float = 1.0
     location_cols: tuple[str, ...] = ("Street", "City")
     location_sep: str = "_"
-    weather_rules_clean: tuple = WEATHER_RULES_TRANSFORMS
-    weather_rules_agg: tuple = WEATHER_RULES_CONFIG
+    weather_rules_clean: tuple = WEATHER_RULES_CLEANING
+    weather_rules_agg: tuple = WEATHER_RULES_AGGREGATE
     fill_values: dict[str, Any] = field(
         default_factory=lambda: {
             **{c: False for c in FLAG_COLS},

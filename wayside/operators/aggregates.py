@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayside.config import DEFAULT, HOURS_AGG, INFRA_WEIGHTS, WEATHER_ORDER, Settings
+from wayside.config import DEFAULT, HOURS_DASHBOARD, INFRA_WEIGHTS, WEATHER_ORDER, Settings
 from wayside.functions.numeric import (
     anomaly_category,
     ladder,
@@ -332,7 +332,7 @@ def agg_time_pattern(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         day_name_from_index("DayOfWeek").alias("DayName"),
         is_rush_hour("Hour").alias("is_rush_hour"),
         is_weekend("DayOfWeek").alias("is_weekend"),
-        hour_bucket("Hour", HOURS_AGG).alias("time_period"),
+        hour_bucket("Hour", HOURS_DASHBOARD).alias("time_period"),
     )
     # at most 24 x 7 rows
     out = share_of_max(out, "total_accidents", "hotspot_score", 10)

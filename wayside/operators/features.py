@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wayside.config import (
     DEFAULT,
     FOG_WORDS,
-    HOURS_TRANSFORMS,
+    HOURS_CLEANING,
     INFRA_COLS,
     RAIN_WORDS,
     SNOW_WORDS,
@@ -32,7 +32,7 @@ from wayside.operators.scale import exact_quantiles, quantile_name, scalar_struc
 
 
 def add_time_features(
-    df: DataFrame, ts: str = "Start_Time", scheme: HourScheme = HOURS_TRANSFORMS
+    df: DataFrame, ts: str = "Start_Time", scheme: HourScheme = HOURS_CLEANING
 ) -> DataFrame:
     # labels come in a second step, so that hour and weekday are computed once per row
     parts = df.withColumns(

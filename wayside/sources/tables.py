@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayside.config import WEATHER_RULES_VALIDATOR
+from wayside.config import WEATHER_RULES_CHECKING
 from wayside.functions.text import categorize_text
 from wayside.operators.aggregates import sort_output
 from wayside.operators.cleaning import with_timestamps
@@ -160,5 +160,5 @@ def read_cleaned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     if "Weather_Category" in df.columns:
         return df
     return df.withColumn(
-        "Weather_Category", categorize_text("Weather_Condition", WEATHER_RULES_VALIDATOR)
+        "Weather_Category", categorize_text("Weather_Condition", WEATHER_RULES_CHECKING)
     )
