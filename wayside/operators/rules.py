@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayside.config import DEFAULT, Settings
-from wayside.functions.numeric import percent, ratio, round_even
+from wayside.functions.numeric import ratio, round_even
 from wayside.operators.profiling import q
 from wayside.operators.scale import by_sets, scalar_struct, value_counts_long
 from wayside.operators.star import Star, orphan_count, orphan_totals
@@ -332,11 +332,3 @@ def check_quality(base: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             )
         )
     )
-
-
-def failed_share(findings: DataFrame) -> DataFrame:
-    """Per stage: checks, failed checks, failed in percent."""
-    return findings.groupBy("stage").agg(
-        F.count(F.lit(1)).alias("n_checks"),
-        F.count_if(~F.col("passed")).alias("n_failed"),
-    ).withColumn("failed_pct", percent("n_failed", "n_checks"))

@@ -152,8 +152,8 @@ def exact_quantiles(
     """One row with column ``<col>|<p>`` per column and probability, interpolated linearly.
 
     Exact by default: values are counted first. Beyond ``one_task_rows`` counts, they are
-    range-partitioned and only the ranges that hold a wanted rank are sorted. With ``accuracy`` the result is
-    ``approx_percentile`` with that accuracy, in one pass.
+    range-partitioned and only the ranges that hold a wanted rank are sorted. With
+    ``accuracy`` the result is ``approx_percentile`` with that accuracy, in one pass.
     """
     if accuracy is not None:
         return df.agg(
