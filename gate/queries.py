@@ -62,38 +62,87 @@ def s1(spark, sf):
     return io.read_incidents(spark, path).withColumn("Severity", F.col("Severity").cast("int"))
 
 
-_STAR_COUNTS = """
-SELECT 'dim_time' AS name, count(*) AS n_rows, count(DISTINCT "Date") AS n_keys FROM dim_time
-UNION ALL SELECT 'dim_location', count(*), count(DISTINCT "Location_id") FROM dim_location
-UNION ALL SELECT 'dim_weather', count(*), count(DISTINCT weather_id) FROM dim_weather
-UNION ALL SELECT 'accident_detail', count(*), count(DISTINCT "ID") FROM fact"""
+# every table as rows of one shape: key, texts, whole numbers, times, a double
+_CONTENTS = {
+    "dim_time": ('CAST("Date" AS VARCHAR)', [], ["Day", "Month", "Quarter", "Year"], [], None),
+    "dim_location": (
+        '"Location_id"', ["Street", "City", "County", "State", "Timezone"],
+        ["Junction", "Traffic_Signal", "Crossing", "Stop", "Amenity"], [], None,
+    ),
+    "dim_weather": ("weather_id", ["Weather_Condition"], [], [], None),
+    "accident_detail": (
+        '"ID"', ["Location_id", "weather_id", "full_date", "Description"], ["Severity"],
+        ["Start_Time", "End_Time"], "Duration_min",
+    ),
+}
 
 
-@register("s2_read_star", _STAR_COUNTS)
-def s2(spark, sf):
-    root = scratch_path(spark, "star")
-    io.write_star(fx.star(spark, sf), root, partition_fact=True)
-    return star_counts(io.read_star(spark, root))
+def _contents_sql(name: str, source: str) -> str:
+    key, texts, numbers, times, x = _CONTENTS[name]
+    cells = [f"CAST({o.ident(c)} AS VARCHAR) AS t{i}" for i, c in enumerate(texts)]
+    cells += [f"CAST(NULL AS VARCHAR) AS t{i}" for i in range(len(texts), 5)]
+    cells += [f"CAST({o.ident(c)} AS BIGINT) AS n{i}" for i, c in enumerate(numbers)]
+    cells += [f"CAST(NULL AS BIGINT) AS n{i}" for i in range(len(numbers), 5)]
+    cells += [f"{o.ident(c)} AS at{i}" for i, c in enumerate(times)]
+    cells += [f"CAST(NULL AS TIMESTAMP) AS at{i}" for i in range(len(times), 2)]
+    cells.append(f"CAST({o.ident(x) if x else 'NULL'} AS DOUBLE) AS x")
+    return f"SELECT '{name}' AS name, {key} AS k, {', '.join(cells)} FROM {source}"
 
 
-def star_counts(star: st.Star) -> DataFrame:
-    keys = {
-        "dim_time": "Date",
-        "dim_location": "Location_id",
-        "dim_weather": "weather_id",
-        "accident_detail": "ID",
-    }
-    counted = [
-        df.groupBy(keys[name])
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.lit(name).alias("name"),
-            F.sum("n").alias("n_rows"),
-            F.count(keys[name]).alias("n_keys"),
+_STAR_CONTENTS = "\nUNION ALL ".join(
+    _contents_sql(name, "fact" if name == "accident_detail" else name) for name in _CONTENTS
+)
+
+
+def star_contents(star: st.Star) -> DataFrame:
+    spark = star.accident_detail.sparkSession
+    rows = [
+        spark.sql(
+            _contents_sql(name, "{t}")
+            .replace('"', "`")
+            .replace("VARCHAR", "STRING")
+            .replace("NULL AS TIMESTAMP", "NULL AS TIMESTAMP_NTZ"),
+            t=df,
         )
         for name, df in star.tables().items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, rows)
+
+
+_DAMAGED_COLS = ["ID", "row_seq", "Severity", "City", "State", "Start_Time", "Description"]
+
+
+@register(
+    "s1_read_damaged_files",
+    """SELECT "ID", row_seq, CASE WHEN row_seq % 5 = 1 THEN NULL ELSE "Severity" END AS "Severity", "City",
+ "State", "Start_Time", CASE WHEN row_seq % 3 = 0 THEN 'two' || chr(10) || 'lines, "quoted"'
+  ELSE "Description" END AS "Description",
+ CASE WHEN row_seq % 5 = 1 THEN 'Severity=x' END AS _bad_record FROM incidents""",
+)
+def s1_damaged(spark, sf):
+    """Two files whose columns are in another order, damaged times, quoted line breaks."""
+    root, odd = scratch_path(spark, "damaged"), F.col("row_seq") % 2 == 1
+    time = F.date_format("Start_Time", "yyyy-MM-dd HH:mm:ss")
+    df = fx.incidents(spark, sf).withColumns(
+        {
+            "Start_Time": F.when(F.col("row_seq") % 4 == 0, F.concat(time, F.lit(" UTC#")))
+            .when(F.col("row_seq") % 4 == 1, F.concat(F.lit("*"), time))
+            .otherwise(time),
+            "Severity": F.when(F.col("row_seq") % 5 == 1, "x").otherwise(F.col("Severity").cast("string")),
+            "Description": F.when(F.col("row_seq") % 3 == 0, 'two\nlines, "quoted"').otherwise(F.col("Description")),
+        }
+    ).select(*_DAMAGED_COLS)
+    for name, part in (("a", df.where(odd)), ("b", df.where(~odd).select(*sorted(df.columns)))):
+        io.write_table(part, f"{root}/{name}", "csv")
+    read = io.read_incidents(spark, root, multi_line=True, keep_bad=True)
+    return read.withColumn("Severity", F.col("Severity").cast("int"))
+
+
+@register("s2_read_star", _STAR_CONTENTS)
+def s2(spark, sf):
+    root = scratch_path(spark, "star")
+    io.write_star(fx.star(spark, sf), root, partition_fact=True)
+    return star_contents(io.read_star(spark, root))
 
 
 @register(
@@ -111,7 +160,7 @@ def s3(spark, sf):
 @register("s4_write_table", "SELECT * FROM dim_location")
 def s4(spark, sf):
     path = scratch_path(spark, "dim_location")
-    dim = st.build_dim_location(fx.cleaned_lean(spark, sf), SETTINGS)
+    dim = st.build_dim_location(fx.cleaned(spark, sf), SETTINGS)
     io.write_small("dim_location", dim, path)
     return io.read_table(spark, path)
 
@@ -493,6 +542,37 @@ ORACLE["j4_referential_integrity"] = ORACLE["j4_referential_integrity"].replace(
     "\nWITH lost AS", ",\nlost AS"
 )
 
+_TYPED_RULES = {
+    "Amenity": {"values": {True, False}},
+    "Severity": {"values": {1, 2, 3, 4, 5}, "min": 2, "max": 5},
+    "price": {"values": {1, 2}, "min": 0},
+    "Start_Time": {"min": 5, "max": "1998-01-01 00:00:00"},
+    "State": {"max": 9},
+}
+
+
+@register(
+    "q7_typed_rules",
+    f"""SELECT passed, "column", "check", expected, actual FROM (
+SELECT true AS passed, 'Amenity' AS "column", 'values' AS "check", '0 other values' AS expected, '0' AS actual
+UNION ALL SELECT true, 'Severity', 'values', '0 other values', '0'
+UNION ALL SELECT (SELECT min("Severity") >= 2 FROM incidents), 'Severity', 'min', '>= 2.0',
+ (SELECT CAST(CAST(min("Severity") AS DOUBLE) AS VARCHAR) FROM incidents)
+UNION ALL SELECT (SELECT max("Severity") <= 5 FROM incidents), 'Severity', 'max', '<= 5.0',
+ (SELECT CAST(CAST(max("Severity") AS DOUBLE) AS VARCHAR) FROM incidents)
+UNION ALL SELECT true, 'price', 'min', '>= 0.0', (SELECT CAST(CAST(min(row_seq % 4) AS DOUBLE) AS VARCHAR) FROM incidents)
+UNION ALL SELECT false, 'price', 'values', '0 other values', '2'
+UNION ALL SELECT false, 'Start_Time', 'min', '>= 5.0', 'timestamp_ntz'
+UNION ALL SELECT (SELECT max("Start_Time") <= TIMESTAMP '1998-01-01 00:00:00' FROM incidents), 'Start_Time', 'max',
+ '<= 1998-01-01 00:00:00', (SELECT CAST(max("Start_Time") AS VARCHAR) FROM incidents)
+UNION ALL SELECT false, 'State', 'max', '<= 9.0', 'string') x""",
+)
+def q7_typed(spark, sf):
+    df = fx.incidents(spark, sf).withColumn("price", (F.col("row_seq") % 4).cast("decimal(10,2)"))
+    found = ru.check_rules(df, "typed", _TYPED_RULES)
+    return found.select("passed", "column", "check", "expected", "actual")
+
+
 # ================================================================ aggregates
 
 
@@ -533,22 +613,54 @@ def a5(spark, sf):
 
 @register("a6_build_dim_location", "SELECT * FROM dim_location")
 def a6(spark, sf):
-    return st.build_dim_location(fx.cleaned_lean(spark, sf), SETTINGS)
+    return st.build_dim_location(fx.cleaned(spark, sf), SETTINGS)
+
+
+_HASHED = (
+    """(SELECT *, CASE WHEN row_seq % 2 = 0 THEN 'x' || substr(md5("ID"), 1, 20) || 'x'
+ WHEN row_seq % 5 = 0 THEN 'B-' || CAST(row_seq // 7 AS VARCHAR) ELSE "ID" END AS id2 FROM cleaned)"""
+)
+_FIRST = """(CASE WHEN regexp_matches(id2, '[0-9]+$')
+ THEN '0' || lpad(regexp_extract(id2, '([0-9]+)$', 1), 20, '0') ELSE '1' END) || id2"""
+
+
+@register(
+    "a6_dim_location_hashed_ids",
+    'SELECT "Location_id", '
+    + ", ".join(
+        f'arg_min("{c}", first) FILTER (WHERE "{c}" IS NOT NULL) AS "{c}"'
+        for c in ("Street", "City", "County", "State", "Timezone")
+    )
+    + ", "
+    + ", ".join(f'CAST(count(*) FILTER (WHERE "{c}") AS BIGINT) AS "{c}"' for c, _ in cfg.INFRA_WEIGHTS)
+    + f' FROM (SELECT *, {_FIRST} AS first FROM {_HASHED}) h GROUP BY "Location_id"',
+)
+def a6_hashed(spark, sf):
+    return st.build_dim_location(fx.hashed_ids(spark, sf), SETTINGS)
+
+
+@register(
+    "a8_dim_weather_hashed_ids",
+    f"""SELECT 'W' || CAST(row_number() OVER (ORDER BY first) AS VARCHAR) AS weather_id, "Weather_Condition"
+FROM (SELECT "Weather_Condition", min({_FIRST}) AS first FROM {_HASHED} h GROUP BY 1) d""",
+)
+def a8_hashed(spark, sf):
+    return st.build_dim_weather(fx.hashed_ids(spark, sf))
 
 
 @register("a7_build_dim_time", "SELECT * FROM dim_time")
 def a7(spark, sf):
-    return st.build_dim_time(fx.cleaned_lean(spark, sf))
+    return st.build_dim_time(fx.cleaned(spark, sf))
 
 
 @register("a8_build_dim_weather", "SELECT * FROM dim_weather")
 def a8(spark, sf):
-    return st.build_dim_weather(fx.cleaned_lean(spark, sf))
+    return st.build_dim_weather(fx.cleaned(spark, sf))
 
 
 @register("a9_build_fact", "SELECT * FROM fact")
 def a9(spark, sf):
-    df = fx.cleaned_lean(spark, sf)
+    df = fx.cleaned(spark, sf)
     return st.build_fact(df, st.build_dim_weather(df), SETTINGS)
 
 
@@ -615,7 +727,7 @@ def a12(spark, sf):
  FROM cleaned) THEN 'Urban' ELSE 'Rural' END AS "Urban_Rural" FROM cleaned""",
 )
 def a13(spark, sf):
-    return ft.urban_rural(fx.cleaned_lean(spark, sf)).select("ID", "Infra_Score", "Urban_Rural")
+    return ft.urban_rural(fx.cleaned(spark, sf)).select("ID", "Infra_Score", "Urban_Rural")
 
 
 @register(
@@ -624,7 +736,7 @@ def a13(spark, sf):
  THEN 1 ELSE 0 END) * 100''', 6)} AS urban_pct FROM cleaned""",
 )
 def a13_share(spark, sf):
-    df = ft.urban_rural(fx.cleaned_lean(spark, sf)).withColumn(
+    df = ft.urban_rural(fx.cleaned(spark, sf)).withColumn(
         "u", (F.col("Urban_Rural") == "Urban").cast("int")
     )
     return rounded(agg.flag_rate(df, ["u"]).select(F.col("pct").alias("urban_pct")), 6, "urban_pct")
@@ -797,7 +909,7 @@ def l2(spark, sf):
     return agg.sort_output("agg_city_by_state", a3(spark, sf))
 
 
-@register("l3_sample_head")
+@register("l3_sample_head", f"SELECT {_RAW} FROM incidents ORDER BY row_seq LIMIT 1000")
 def l3(spark, sf):
     return agg.sample_head(fx.incidents(spark, sf), 1000)
 
@@ -1119,29 +1231,35 @@ def q4(spark, sf):
 
 @register("q4_sanity_check", _range_sql(["Duration_min", "Severity"], "cleaned"))
 def q4_sanity(spark, sf):
-    return rounded(pf.sanity_check(fx.cleaned_lean(spark, sf)), 6, "null_pct")
+    return rounded(pf.sanity_check(fx.cleaned(spark, sf)), 6, "null_pct")
 
 
-_PROFILED = [
-    ("ID", "string"), ("Severity", "int"), ("Start_Time", "timestamp_ntz"), ("City", "string"),
-    ("State", "string"), ("Weather_Condition", "string"), ("Amenity", "boolean"),
-    ("row_seq", "bigint"),
-]
+_TYPES = {"row_seq": "bigint", "Severity": "int", TEMP: "double", VIS: "double", RAIN: "double"}
+_TYPES |= {c: "timestamp_ntz" for c in ("Start_Time", "End_Time")}
+_TYPES |= {
+    c: "boolean"
+    for c in ("Amenity", "Crossing", "Junction", "Railway", "Station", "Stop", "Traffic_Signal")
+}
+
+
+def _sample(c: str) -> str:
+    first = f"arg_min({o.ident(c)}, row_seq) FILTER (WHERE {o.ident(c)} IS NOT NULL)"
+    return f"CAST({first} AS VARCHAR)"
 
 
 @register(
     "q5_column_profile",
     "\nUNION ALL\n".join(
-        f'SELECT {i} AS "position", {o.lit(c)} AS "column", {o.lit(t)} AS "type",'
-        f" count({o.ident(c)}) AS non_null,"
-        f" CAST(arg_min({o.ident(c)}, row_seq) FILTER (WHERE {o.ident(c)} IS NOT NULL) AS VARCHAR)"
-        f" AS sample, regexp_matches({o.lit(c.lower())}, 'lat|lng|lon|coord') AS is_location"
+        f'SELECT {i} AS "position", {o.lit(c)} AS "column",'
+        f' {o.lit(_TYPES.get(c, "string"))} AS "type",'
+        f" count({o.ident(c)}) AS non_null, {_sample(c)} AS sample,"
+        f" regexp_matches({o.lit(c.lower())}, 'lat|lng|lon|coord') AS is_location"
         f" FROM incidents"
-        for i, (c, t) in enumerate(_PROFILED, 1)
+        for i, c in enumerate(o.RAW_COLS, 1)
     ),
 )
 def q5(spark, sf):
-    return pf.column_profile(fx.incidents(spark, sf).select(*[c for c, _ in _PROFILED]))
+    return pf.column_profile(fx.incidents(spark, sf))
 
 
 @register(
@@ -1332,13 +1450,14 @@ _CITY_SQL = "\nUNION ALL\n".join(
 
 
 def _parts(spark, sf):
-    df = fx.cleaned_lean(spark, sf)
-    return df, jobs.build_star(df, SETTINGS)
+    # both the rows and the star are read many times
+    df = materialize(fx.cleaned(spark, sf))
+    return df, jobs.build_star(df, SETTINGS, verify=False)
 
 
 @register("q13_reconcile_city", _CITY_SQL)
 def q13(spark, sf):
-    return rc.reconcile_city(a3(spark, sf), fx.cleaned_lean(spark, sf), settings=SETTINGS)
+    return rc.reconcile_city(a3(spark, sf), fx.cleaned(spark, sf), settings=SETTINGS)
 
 
 _SIGNS = """(SELECT count(*) FILTER (WHERE "Weather_Category" = 'Clear'
@@ -1380,7 +1499,7 @@ _WEATHER_SQL = "\nUNION ALL\n".join(
 
 @register("q14_reconcile_weather", _WEATHER_SQL)
 def q14(spark, sf):
-    return rc.reconcile_weather(a4(spark, sf), fx.cleaned_lean(spark, sf), settings=SETTINGS)
+    return rc.reconcile_weather(a4(spark, sf), fx.cleaned(spark, sf), settings=SETTINGS)
 
 
 _TOTALS_SQL = "\nUNION ALL\n".join(
@@ -1521,13 +1640,13 @@ FROM (SELECT (SELECT count(*) FROM filtered) AS rows_in, (SELECT count(*) FROM c
 )
 def k2_report(spark, sf):
     before = fx.filtered(spark, sf)
-    after = jobs.clean(before, SETTINGS, sensors=())
+    after = jobs.clean(before, SETTINGS)
     return rounded(jobs.clean_report(before, after), 6, "removed_pct")
 
 
-@register("k3_build_star", _STAR_COUNTS)
+@register("k3_build_star", _STAR_CONTENTS)
 def k3(spark, sf):
-    return star_counts(fx.star(spark, sf))
+    return star_contents(fx.star(spark, sf, verify=True))
 
 
 _K4 = {

@@ -1,6 +1,8 @@
 """Rule engine, assertions, reconciliation and the whole job."""
 
 import dataclasses
+import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +13,12 @@ from tests.conftest import SF_MID, SF_SMALL
 from wayside import config as cfg
 from wayside.operators import aggregates as agg
 from wayside.operators import cleaning as cl
+from wayside.operators import profiling as pf
 from wayside.operators import reconcile as rc
 from wayside.operators import rules as ru
 from wayside.operators import star as st
 from wayside.plans import jobs
-from wayside.session import scratch_path
+from wayside.session import scratch_path, shared_dir
 from wayside.sources import tables as io
 
 
@@ -149,7 +152,7 @@ def test_pareto_line(spark):
 
 
 def city_findings(spark, settings):
-    df = jobs.clean(fx.filtered(spark, SF_MID), settings, sensors=())
+    df = jobs.clean(fx.filtered(spark, SF_MID), settings)
     known = df.where(F.col("State").isNotNull())
     star = jobs.build_star(known, settings)
     aggs = jobs.build_aggregates(star, settings)
@@ -184,7 +187,7 @@ def test_wind_directions(spark):
 
 
 def test_sample_validation(spark):
-    df = fx.cleaned_lean(spark, SF_SMALL)
+    df = fx.cleaned(spark, SF_SMALL)
     aggs = jobs.build_aggregates(jobs.build_star(df, SETTINGS), SETTINGS)
     every = jobs.validate_outputs(df, aggs, SETTINGS)
     some = jobs.validate_outputs(df, aggs, SETTINGS, [("CHINA", "BUILDING")], ["CHINA"])
@@ -221,7 +224,7 @@ def test_quality_report(spark):
 
 def test_totals_add_up(spark):
     """Sums over the groups of an aggregate and over the rows are the same."""
-    df = fx.cleaned_lean(spark, SF_SMALL)
+    df = fx.cleaned(spark, SF_SMALL)
     star = jobs.build_star(df, SETTINGS)
     aggs = jobs.build_aggregates(star, SETTINGS)
     n = df.count()
@@ -237,7 +240,7 @@ def test_whole_job_from_parquet(spark):
     source, out = scratch_path(spark, "raw"), scratch_path(spark, "etl")
     fx.incidents(spark, SF_SMALL).write.parquet(source)
     done = jobs.run_etl(spark, source, out, SETTINGS, fmt="parquet")
-    assert done.cleaned.count() == fx.cleaned_lean(spark, SF_SMALL).count()
+    assert done.cleaned.count() == fx.cleaned(spark, SF_SMALL).count()
     assert set(done.aggregates) == {
         "agg_federal", "agg_state_anomaly", "agg_city_by_state", "agg_weather_by_state",
         "agg_time_pattern",
@@ -247,6 +250,90 @@ def test_whole_job_from_parquet(spark):
     assert io.read_star(spark, out).dim_weather.count() == 9
 
 
+def test_the_source_is_parsed_once_and_scratch_tables_go(spark):
+    source, out = scratch_path(spark, "raw"), scratch_path(spark, "etl")
+    io.write_table(fx.incidents(spark, SF_SMALL), source, "csv")
+    shared = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    reads = []
+    read = io.read_incidents
+    jobs.read_incidents = lambda *a, **k: reads.append(a) or read(*a, **k)
+    try:
+        done = jobs.run_etl(spark, source, out, SETTINGS)
+    finally:
+        jobs.read_incidents = read
+    assert len(reads) == 1
+    assert {p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before} <= {"etl"}
+    assert spark.read.parquet(f"{out}/profile/bad_records").first().n_bad == 0
+    assert done.report.where("status = 'FAIL'").count() >= 0
+
+
+def test_a_failing_check_leaves_the_old_table(spark):
+    out = scratch_path(spark, "etl")
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    fx.incidents(spark, SF_SMALL).write.parquet(good)
+    untimed = F.lit(None).cast("timestamp_ntz")
+    fx.incidents(spark, SF_SMALL).withColumn("End_Time", untimed).write.parquet(bad)
+    n = jobs.run_etl(spark, good, out, SETTINGS, fmt="parquet", with_profile=False).cleaned.count()
+    with pytest.raises(ru.ValidationError):
+        jobs.run_etl(spark, bad, out, SETTINGS, fmt="parquet", with_profile=False)
+    left = spark.read.parquet(f"{out}/cleaned")
+    assert left.count() == n == left.where("Duration_min is not null").count()
+
+
+def test_bad_stars_and_aggregates_raise(spark):
+    star = jobs.build_star(fx.cleaned(spark, SF_SMALL), SETTINGS)
+    twice = dataclasses.replace(star, dim_weather=star.dim_weather.union(star.dim_weather))
+    with pytest.raises(ru.ValidationError, match="weather_id"):
+        jobs.verify_star(twice, SETTINGS)
+    lost = dataclasses.replace(star, dim_location=star.dim_location.limit(3))
+    with pytest.raises(ru.ValidationError, match="Location_id"):
+        jobs.verify_star(lost, SETTINGS)
+    aggs = jobs.build_aggregates(star, SETTINGS)
+    jobs.verify_aggregates(aggs)
+    weather = aggs["agg_weather_by_state"].withColumn("severity_increase_pct", F.lit(1.0))
+    with pytest.raises(ru.ValidationError, match="severity_increase_pct"):
+        jobs.verify_aggregates(aggs | {"agg_weather_by_state": weather})
+    cities = aggs["agg_city_by_state"].withColumn("pct_of_state", F.lit(101.0))
+    with pytest.raises(ru.ValidationError, match="pct_of_state"):
+        jobs.verify_aggregates(aggs | {"agg_city_by_state": cities})
+
+
+def test_rules_compare_by_type(spark):
+    df = spark.createDataFrame(
+        [(True, 1.0, 1, "2020-01-01"), (False, 2.0, 2, "2021-01-01")], "b boolean, x double, n int, s string"
+    ).withColumns({"d": F.col("x").cast("decimal(8,2)"), "t": F.col("s").cast("timestamp_ntz")})
+    rules = {
+        "b": {"values": {True, False}}, "x": {"values": {1, 2}}, "d": {"values": {1, 2}}, "n": {"values": {1, 2.0}},
+        "t": {"min": "2020-01-01", "max": dt.datetime(2022, 1, 1)}, "s": {"values": {"2020-01-01", "2021-01-01"}},
+    }
+    assert ru.check_rules(df, "s", rules).where(~F.col("passed")).collect() == []
+    wrong = {"b": {"values": {True}}, "x": {"values": {1}}, "t": {"min": 3, "max": "2020-06-01"}, "s": {"max": 4}}
+    found = {(r["column"], r["check"]): r["passed"] for r in ru.check_rules(df, "s", wrong).collect()}
+    assert found == {k: False for k in (("b", "values"), ("x", "values"), ("t", "min"), ("t", "max"), ("s", "max"))}
+
+
+def test_absent_percentages_are_skipped(spark):
+    df = spark.createDataFrame([(50.0,), (50.0,)], "p double")
+    for total in (False, True):
+        assert ru.check_percentages(df, "absent", sum_to_100=total).collect() == []
+        assert ru.check_percentages(df, "p", sum_to_100=total).where(~F.col("passed")).collect() == []
+
+
+def test_profile_of_any_table(spark):
+    df = spark.createDataFrame([("b", 2), ("a", None)], "lat string, n int")
+    got = {r["column"]: (r.type, r.non_null, r["sample"], r.is_location) for r in pf.column_profile(df).collect()}
+    assert got == {"lat": ("string", 2, "a", True), "n": ("int", 1, "2", False)}
+
+
+def test_duplicates_are_compared_in_full(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (None, "a"), (1, None), (2, "b")], "n int, s string")
+    assert pf.duplicate_count(df).first()[0] == 2
+    assert pf.duplicate_count(df, ["n"]).first()[0] == 3
+    monkeypatch.setattr(pf.F, "xxhash64", lambda *c: F.lit(1).cast("long"))  # all hashes collide
+    assert pf.duplicate_count(df).first()[0] == 2
+
+
 def test_narrow_types(spark):
     df = spark.createDataFrame(
         [(1, 300, 70000, 2**40, 1.5, None), (-128, -300, 0, 0, 2.5, None)],

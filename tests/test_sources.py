@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import types as T
@@ -41,6 +42,36 @@ def test_line_break_inside_quotes(spark, tmp_path):
     assert [r["Description"] for r in row] == ["two\nlines"]
 
 
+def test_columns_follow_the_header_of_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,City,State\nA-1,Dayton,OH\n")
+    (tmp_path / "b.csv").write_text("State,ID,City,Severity\nTX,B-1,Austin,2\n")
+    (tmp_path / "c.csv").write_text("")
+    with gzip.open(tmp_path / "d.csv.gz", "wt") as f:
+        f.write("City,ID\nReno,D-1\n")
+    rows = {r.ID: (r.City, r.State, r.Severity) for r in io.read_incidents(spark, str(tmp_path)).collect()}
+    assert rows == {"A-1": ("Dayton", "OH", None), "B-1": ("Austin", "TX", 2), "D-1": ("Reno", None, None)}
+
+
+def test_damaged_times_are_repaired(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("ID,Start_Time\n1,2021-01-01 10:00:00 UTC#\n2,*2021-01-01 10:00:00\n3,what\n")
+    rows = {r.ID: r for r in io.read_incidents(spark, str(path), keep_bad=True).collect()}
+    assert rows["1"].Start_Time == rows["2"].Start_Time == dt.datetime(2021, 1, 1, 10)
+    assert rows["3"].Start_Time is None and rows["3"]["_bad_record"] == "Start_Time=what"
+
+
+def test_unreadable_records_are_counted(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('ID,Severity,Temperature(F)\n1,2,N/A\n2,x,1\n3,"cut\nlines",1\n4,1,2,3\n')
+    out = scratch_path(spark, "read")
+    io.write_table(io.read_incidents(spark, str(path), keep_bad=True), out)
+    got = io.bad_records(io.read_table(spark, out)).first()
+    # the broken line makes two short records; 4 has a field too many
+    assert (got.n_rows, got.n_bad) == (5, 4)
+    whole = io.read_incidents(spark, str(path), multi_line=True, keep_bad=True).collect()
+    assert [r.ID for r in whole if r["_bad_record"] is None] == ["1"] and len(whole) == 4
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         io.read_incidents(spark, str(tmp_path / "none.csv"))

@@ -34,8 +34,9 @@ from wayside.functions.temporal import (
 )
 from wayside.functions.text import categorize_text
 from wayside.operators.cleaning import present
-from wayside.operators.scale import MAX_BROADCAST_ROWS, by_sets, is_small, running_total
-from wayside.operators.star import Star, with_dominant_infra
+from wayside.operators.scale import addable, by_sets, running_total
+from wayside.operators.star import Star, row_order, with_dominant_infra
+from wayside.session import materialize
 
 MEASURES = ("n_rows", "n_id", "n_high", "n_sev", "sum_sev", "sumsq_sev", "n_dur", "sum_dur")
 LOCATION_KEYS = ("State", "City", "dominant_infra")
@@ -75,10 +76,18 @@ def rollup(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) ->
     return df.groupBy(*keys).agg(*_measures(df, settings))
 
 
-def _with_dimensions(
-    star: Star, keys: Sequence[str], settings: Settings, max_broadcast_rows: int
-) -> DataFrame:
-    """The fact, or its roll-up by foreign keys, with the columns of ``keys``."""
+def rolled_up(df: DataFrame, keys: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
+    """``rollup`` for a caller that uses it twice: rows are read once.
+
+    The groups of incident rows are written first, since the two uses would filter and
+    prune the scan differently. A roll-up of ``star_rollups`` is written already.
+    """
+    rolled = rollup(df, keys, settings)
+    return rolled if "n_rows" in df.columns else materialize(rolled)
+
+
+def _with_dimensions(star: Star, keys: Sequence[str], settings: Settings) -> DataFrame:
+    """The fact with the columns of ``keys``; Spark chooses the joins by bytes."""
     fact = star.accident_detail
     own = [k for k in ("Hour", "DayOfWeek") if k in keys]
     fact = fact.withColumns({"Hour": F.hour("Start_Time"), "DayOfWeek": day_of_week("Start_Time")})
@@ -97,11 +106,8 @@ def _with_dimensions(
         dims["weather_id"] = star.dim_weather.select(
             "weather_id", category.alias("Weather_Category")
         )
-    small = {fk for fk, dim in dims.items() if is_small(dim, max_broadcast_rows)}
-    if small != set(dims):
-        fact = rollup(fact, [*own, *dims], settings)
     for fk, dim in dims.items():
-        fact = fact.join(F.broadcast(dim) if fk in small else dim, fk, "left")
+        fact = fact.join(dim, fk, "left")
     if "Weather_Category" in keys:
         # a fact without an entry has no text, which counts as clear
         no_text = categorize_text(F.lit(None).cast("string"), settings.weather_rules_agg)
@@ -109,30 +115,22 @@ def _with_dimensions(
     return fact
 
 
-def star_rollup(
-    star: Star,
-    keys: Sequence[str],
-    settings: Settings = DEFAULT,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def star_rollup(star: Star, keys: Sequence[str], settings: Settings = DEFAULT) -> DataFrame:
     """Roll-up of the star, equal to ``rollup(star_join(star), keys)``.
 
-    Only the dimensions that ``keys`` need are joined. While they are counted to
-    be small they are broadcast to the fact. With a larger one the fact is rolled
-    up by its foreign keys before it is shuffled to that dimension.
+    Only the dimensions that ``keys`` need are joined.
     """
-    return rollup(_with_dimensions(star, keys, settings, max_broadcast_rows), keys, settings)
+    return rollup(_with_dimensions(star, keys, settings), keys, settings)
 
 
 def star_rollups(
     star: Star,
     sets: Mapping[str, Sequence[str]] = DASHBOARDS,
     settings: Settings = DEFAULT,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> dict[str, DataFrame]:
     """A roll-up per entry of ``sets``, all from one pass over the fact."""
     keys = list(dict.fromkeys(c for cols in sets.values() for c in cols))
-    rows = _with_dimensions(star, keys, settings, max_broadcast_rows)
+    rows = _with_dimensions(star, keys, settings)
     return by_sets(rows, sets, _measures(rows, settings))
 
 
@@ -184,7 +182,7 @@ def agg_federal(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def agg_state_anomaly(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Per state and year: how far the mean severity lies from the nation's."""
-    fine = rollup(df, ["Year", "State", "City"], settings)
+    fine = rolled_up(df, ["Year", "State", "City"], settings)
     by_state = _known(fine, ["State", "Year"]).groupBy("State", "Year").agg(
         *[F.sum(m).alias(m) for m in MEASURES],
         # groups of the fine roll-up are distinct cities
@@ -231,7 +229,7 @@ def agg_city_by_state(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Per state and city: totals, the usual dominant feature, comparison with the state."""
     if "dominant_infra" not in df.columns:
         df = with_dominant_infra(df)
-    fine = _known(rollup(df, ["State", "City", "dominant_infra"], settings), ["State"])
+    fine = _known(rolled_up(df, ["State", "City", "dominant_infra"], settings), ["State"])
     # the most frequent feature; on a tie the first in alphabetical order
     usual = F.min_by("dominant_infra", F.struct(-F.col("n_rows"), F.col("dominant_infra")))
     cities = _known(fine, ["City"]).groupBy("State", "City").agg(
@@ -270,7 +268,7 @@ def agg_city_by_state(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 def agg_weather_by_state(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Per state and weather: increase over clear weather of the same state, and risk."""
     fine = _known(
-        rollup(df, ["State", "Weather_Category"], settings), ["State", "Weather_Category"]
+        rolled_up(df, ["State", "Weather_Category"], settings), ["State", "Weather_Category"]
     )
     clear = F.col("Weather_Category") == "Clear"
     # clear weather of the state, else the whole state
@@ -387,7 +385,7 @@ def running_share(
     """Share of the total and its running sum, largest value first, key as tie break."""
     ordered = df.withColumn("__desc", -F.col(value))
     summed = running_total(ordered, ["__desc", key], value, "__cum")
-    total = summed.agg(F.sum(value)).scalar()
+    total = summed.agg(F.sum(addable(summed, value))).scalar()
     return summed.withColumns(
         {
             share: ratio(F.col(value), total) * 100,
@@ -400,7 +398,10 @@ def pareto(
     df: DataFrame, group: str, value: str, threshold: float = DEFAULT.pareto_threshold
 ) -> DataFrame:
     """Groups by descending sum; the group that crosses the line is already 'Bottom'."""
-    sums = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.sum(value).alias(value))
+    known = df.where(F.col(group).isNotNull())
+    total = F.sum(addable(df, value))
+    fraction = df.schema[value].dataType.typeName() in ("float", "double")
+    sums = known.groupBy(group).agg((total.cast("double") if fraction else total).alias(value))
     shares = running_share(sums, value, group, "Percentage", "Cumulative_Percentage")
     return shares.withColumn(
         "Pareto_Group",
@@ -424,7 +425,8 @@ def top_n(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
 
 
 def sample_head(df: DataFrame, n: int = 1000) -> DataFrame:
-    return df.limit(n)
+    """The first n rows in the order of rows."""
+    return df.orderBy(row_order(df)).limit(n)
 
 
 def severity_stats(df: DataFrame) -> DataFrame:

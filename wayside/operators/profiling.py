@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,21 +57,47 @@ def top_missing(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """One row: rows beyond the first of their key, or of the whole row."""
-    groups = df.groupBy(*[q(c) for c in (keys or df.columns)]).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+    """One row: rows beyond the first of their key, or of the whole row.
+
+    Two 64-bit hashes of a row cross the network instead of the row. Rows that agree on
+    both are then compared in full; few rows do, unless there are many duplicates.
+    """
+    cols = [q(c) for c in (keys or df.columns)]
+    if len(cols) == 1:
+        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+        return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicates"))
+    marked = df.select(F.xxhash64(*cols).alias("__h1"), F.xxhash64(F.lit(1), *cols).alias("__h2"), *cols)
+    often = (
+        marked.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    )
+    same = marked.join(often.select("__h1", "__h2"), ["__h1", "__h2"], "left_semi")
+    groups = same.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicates"))
 
 
 def distinct_profile(
     df: DataFrame, cols: Sequence[str] | None = None, rsd: float | None = None
 ) -> DataFrame:
-    """Distinct non-null values per column; with ``rsd`` estimated in one pass."""
+    """Distinct non-null values per column; with ``rsd`` estimated in one pass.
+
+    Columns of one type are counted together, as values of that type.
+    """
     cols = list(cols or df.columns)
     if rsd is not None:
         one = df.agg(*[F.approx_count_distinct(q(c), rsd).alias(f"n|{c}") for c in cols])
         return unpivot_stats(one, cols, {"n": "n_distinct"})
-    values = value_counts_long(df, cols, "string", keep_null=True)
-    return values.groupBy(F.col("name").alias("column")).agg(F.count("value").alias("n_distinct"))
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        kind = df.schema[c].dataType
+        plain = isinstance(kind, T.AtomicType)
+        by_type.setdefault(kind.simpleString() if plain else "string", []).append(c)
+    counted = [
+        value_counts_long(df, some, kind, keep_null=True)
+        .groupBy(F.col("name").alias("column"))
+        .agg(F.count("value").alias("n_distinct"))
+        for kind, some in by_type.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 def range_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -94,16 +121,19 @@ def sanity_check(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Position, type, non-null values and the first value seen, per column.
 
-    ``is_location`` marks names that speak of coordinates.
+    ``is_location`` marks names that speak of coordinates. In a table without row_seq and
+    ID no row is first, and the sample is the smallest value as text.
     """
     cols = df.columns
-    seq = row_order(df)
+    ordered = "row_seq" in cols or "ID" in cols
+
+    def sample(c: str) -> Column:
+        text = q(c).cast("string")
+        return F.min_by(text, F.when(q(c).isNotNull(), row_order(df))) if ordered else F.min(text)
+
     one = df.agg(
         *[F.count(q(c)).alias(f"non_null|{c}") for c in cols],
-        *[
-            F.min_by(q(c).cast("string"), F.when(q(c).isNotNull(), seq)).alias(f"sample|{c}")
-            for c in cols
-        ],
+        *[sample(c).alias(f"sample|{c}") for c in cols],
     )
     long = unpivot_stats(one, cols, {"non_null": "non_null", "sample": "sample"})
     place = F.create_map(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, RISK_LABELS, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
-from wayside.operators.rules import finding
+from wayside.operators.rules import check_percentages, finding
 from wayside.operators.scale import by_sets
 
 
@@ -247,3 +247,28 @@ def quality_report(findings: DataFrame) -> DataFrame:
         "n_failed",
     )
 
+
+
+def check_aggregates(aggs: Mapping[str, DataFrame]) -> DataFrame:
+    """Shares lie in 0..100, and clear weather has no increase over itself."""
+    cities, weather = aggs["agg_city_by_state"], aggs["agg_weather_by_state"]
+    parts = [
+        check_percentages(df, c, stage=name)
+        for name, df, c in (
+            ("agg_federal", aggs["agg_federal"], "high_severity_pct"),
+            ("agg_city_by_state", cities, "pct_of_state"),
+            ("agg_city_by_state", cities, "high_severity_pct"),
+            ("agg_weather_by_state", weather, "high_severity_pct"),
+        )
+    ]
+    off = weather.agg(
+        F.count_if(
+            (F.col("severity_increase_pct") < 0)
+            | ((F.col("Weather_Category") == "Clear") & (F.col("severity_increase_pct") != 0))
+        ).alias("n")
+    )
+    verdict = finding(
+        "agg_weather_by_state", "severity_increase_pct", "clear_is_zero",
+        F.col("n") == 0, "0", F.col("n").cast("string"), "rows:",
+    )
+    return reduce(DataFrame.unionByName, [*parts, off.select(F.inline(F.array(verdict)))])

@@ -7,12 +7,15 @@ expected, actual, message. Only ``assert_*`` and ``raise_on_fail`` bring the
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayside.config import DEFAULT, Settings
 from wayside.functions.numeric import ratio, round_even
@@ -32,6 +35,33 @@ class ValidationError(Exception):
         super().__init__("validation failed:\n" + "\n".join(lines))
 
 
+def _comparable_limit(df: DataFrame, c: str, limit: Any) -> Column | None:
+    """The limit in the column's type, or None if the two cannot be compared."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.NumericType):
+        fits = isinstance(limit, (int, float, Decimal)) and not isinstance(limit, bool)
+        return F.lit(limit) if fits else None
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        fits = isinstance(limit, (str, dt.date))
+        return F.lit(limit).try_cast(kind) if fits else None
+    return F.lit(limit) if isinstance(kind, T.StringType) and isinstance(limit, str) else None
+
+
+def _allowed_texts(df: DataFrame, c: str, allowed: Sequence[Any]) -> Column:
+    """The allowed values as the texts that values of the column's type have."""
+    kind = df.schema[c].dataType
+    typed = [F.lit(v).try_cast(kind) for v in allowed]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        typed = [t + F.lit(0.0) for t in typed]
+    return F.array_compact(F.array(*[t.cast("string") for t in typed]))
+
+
+def _edge_text(df: DataFrame, c: str, value: Column) -> Column:
+    if isinstance(df.schema[c].dataType, T.NumericType):
+        return text_of(value)
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
 def text_of(c: Column) -> Column:
     """A number as text, 'null' without a value."""
     return F.coalesce(c.cast("double").cast("string"), F.lit("null"))
@@ -55,8 +85,8 @@ def finding(
     )
 
 
-def _limit(value: float) -> str:
-    return str(float(value))
+def _limit(value: Any) -> str:
+    return str(float(value)) if isinstance(value, (int, float, Decimal)) else str(value)
 
 
 def _pct(value: Column) -> Column:
@@ -102,7 +132,7 @@ def check_rules(
             ],
             *[
                 F.count_if(
-                    of[c] & ~F.col("value").isin(*[str(v) for v in rules[c]["values"]])
+                    of[c] & ~F.array_contains(_allowed_texts(df, c, rules[c]["values"]), F.col("value"))
                 ).alias(f"foreign|{c}")
                 for c in listed
             ],
@@ -127,20 +157,23 @@ def check_rules(
                     f"<= {round(most * 100, 1)}%", _pct(share), "nulls:",
                 )
             )
-        if "min" in rule:
-            low = q(f"min|{c}")
-            found.append(
-                finding(
-                    stage, c, "min", low >= rule["min"],
-                    f">= {_limit(rule['min'])}", text_of(low), "smallest value:",
+        for edge, sign, why in (("min", ">=", "smallest value:"), ("max", "<=", "largest value:")):
+            if edge not in rule:
+                continue
+            limit, value = _comparable_limit(df, c, rule[edge]), q(f"{edge}|{c}")
+            if limit is None:
+                # a number is no limit for a time, nor a text for a number
+                found.append(
+                    finding(
+                        stage, c, edge, F.lit(False), f"{sign} {_limit(rule[edge])}",
+                        F.lit(df.schema[c].dataType.simpleString()), "not comparable:",
+                    )
                 )
-            )
-        if "max" in rule:
-            high = q(f"max|{c}")
+                continue
             found.append(
                 finding(
-                    stage, c, "max", high <= rule["max"],
-                    f"<= {_limit(rule['max'])}", text_of(high), "largest value:",
+                    stage, c, edge, value >= limit if edge == "min" else value <= limit,
+                    f"{sign} {_limit(rule[edge])}", _edge_text(df, c, value), why,
                 )
             )
         if rule.get("unique"):
@@ -163,8 +196,9 @@ def check_rules(
     return out
 
 
-def raise_failures(findings: DataFrame) -> None:
-    failed = findings.where(~F.col("passed")).collect()
+def raise_failures(findings: DataFrame, shown: int = 1000) -> None:
+    """Raise if any finding failed, naming the first ``shown`` of them."""
+    failed = findings.where(~F.col("passed")).limit(shown).collect()
     if failed:
         raise ValidationError(failed)
 
@@ -199,7 +233,13 @@ def assert_range(
 def check_percentages(
     df: DataFrame, c: str, sum_to_100: bool = False, group: str | None = None, stage: str = ""
 ) -> DataFrame:
-    """0..100, and on request a total (per group) within 99..101."""
+    """0..100, and on request a total (per group) within 99..101.
+
+    An absent column is skipped: there are no findings.
+    """
+    if c not in df.columns:
+        nothing = finding(stage, c, "min", F.lit(True), "", F.lit(""), "")
+        return df.where(F.lit(False)).select(F.inline(F.array(nothing)))
     found = check_rules(df, stage, {c: {"min": 0, "max": 100}})
     if not sum_to_100:
         return found
@@ -234,6 +274,22 @@ def assert_percentages(findings: DataFrame) -> None:
 # ---------------------------------------------------------------- keys
 
 
+def check_keys(star: Star) -> DataFrame:
+    """One finding per dimension that the star has: its key occurs once."""
+    keys = (("dim_time", "Date"), ("dim_location", "Location_id"), ("dim_weather", "weather_id"))
+    found = []
+    for name, key in keys:
+        dim = star.tables().get(name)
+        if dim is None:
+            continue
+        n = check_unique(dim, key).agg(F.count(F.lit(1)).alias("n"))
+        verdict = finding(
+            "star", key, "unique", F.col("n") == 0, "0", F.col("n").cast("string"), f"repeated keys in {name}:"
+        )
+        found.append(n.select(F.inline(F.array(verdict))))
+    return reduce(DataFrame.unionByName, found)
+
+
 def check_unique(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)

@@ -2,37 +2,29 @@
 
 A running total or an exact quantile needs a global order. A window without a
 partition key sends all rows to one task, and ``percentile`` keeps all distinct
-values of a column in one buffer. Both are used only on a table counted to be small.
-Beyond that Spark range-partitions the rows, the result with its range number is
-written (so the ranges cannot move), every range is summed on its own, and the
-range totals, one row per shuffle partition, give each range its offset.
+values of a column in one buffer. Both are done the same way at every size: a running
+total range-partitions the rows, writes them with their range number (so the ranges
+cannot move), sums every range on its own, and takes each range's offset from the range
+totals. A quantile counts the values, narrows each wanted rank to a slice by two
+histograms of bounded size, and orders only that slice; nothing runs before the result
+is used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wayside.session import materialize
 
-MAX_BROADCAST_ROWS = 500_000
-MAX_ONE_TASK_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counted, not estimated; cheap on a written table."""
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the table is counted to be small; otherwise no hint.
-
-    Without the hint Spark shuffles both sides and AQE splits skewed partitions.
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+#: Slots of a histogram that narrows a quantile.
+SLOTS = 4096
+#: Decimal places that fractions are added up with, so that the order does not matter.
+PLACES = 6
 
 
 def scalar_struct(one_row: DataFrame) -> Column:
@@ -84,26 +76,26 @@ def _offsets(ranged: DataFrame, weight: str, by: Sequence[str]) -> DataFrame:
     )
 
 
+def addable(df: DataFrame, c: str) -> Column:
+    """The column in a type whose sum does not depend on the order of the rows.
+
+    Whole numbers and decimals stay; fractions become decimals with ``PLACES`` places.
+    """
+    fraction = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+    return F.col(f"`{c}`").cast(f"decimal(38,{PLACES})") if fraction else F.col(f"`{c}`")
+
+
 def running_total(
-    df: DataFrame,
-    key: Sequence[str],
-    weight: str,
-    out: str,
-    by: Sequence[str] = (),
-    one_task_rows: int = MAX_ONE_TASK_ROWS,
+    df: DataFrame, key: Sequence[str], weight: str, out: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` in ascending ``key`` order.
 
-    ``key`` must be unique (within a group of ``by``).
+    ``key`` must be unique (within a group of ``by``). The sum of fractions is a double
+    that was added up as ``addable`` decimals.
     """
     by = list(by)
-    rows = materialize(df)
-    if is_small(rows, one_task_rows):
-        upto = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*key)
-        upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumn(out, F.sum(weight).over(upto))
-    ranged = in_ranges(rows, *by, *key)
-    offsets = _offsets(ranged, weight, by)
+    ranged = in_ranges(df.withColumn("__weight", addable(df, weight)), *by, *key)
+    offsets = _offsets(ranged, "__weight", by)
     on = [F.col("__range") == F.col("__at")]
     on += [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
     inside = (
@@ -111,11 +103,14 @@ def running_total(
         .orderBy(*key)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    total = F.col("__start") + F.col("__inside")
+    fraction = isinstance(df.schema[weight].dataType, (T.FloatType, T.DoubleType))
     return (
-        ranged.withColumn("__inside", F.sum(weight).over(inside))
+        ranged.withColumn("__inside", F.sum("__weight").over(inside))
         .join(offsets, on, "left")
-        .withColumn(out, F.col("__start") + F.col("__inside"))
-        .drop("__range", "__at", "__start", "__in_range", "__inside", *[f"__by_{b}" for b in by])
+        .withColumn(out, total.cast("double") if fraction else total)
+        .drop("__range", "__at", "__start", "__in_range", "__inside", "__weight")
+        .drop(*[f"__by_{b}" for b in by])
     )
 
 
@@ -142,18 +137,46 @@ def _comparable(df: DataFrame, c: str) -> Column:
     return F.col(f"`{c}`") + F.lit(0.0) if floating else F.col(f"`{c}`")
 
 
+def _signed_log(c: Column) -> Column:
+    return F.signum(c) * F.log1p(F.abs(c))
+
+
+def _narrowed(counts: DataFrame, picks: DataFrame, scale: Callable[[Column], Column]) -> DataFrame:
+    """Each pick (name, rank, before, lo, hi) cut to the slot of its range that holds it.
+
+    ``scale`` must not decrease, then neither do the slots, and the rows before a slot
+    can be added up. The picks are few, so the hint is safe; a histogram has ``SLOTS``
+    rows for each pick.
+    """
+    lo, hi, value = scale(F.col("lo")), scale(F.col("hi")), scale(F.col("value"))
+    slot = F.floor((value - lo) / F.when(hi > lo, hi - lo) * SLOTS)
+    slot = F.coalesce(F.greatest(F.least(slot, F.lit(SLOTS - 1)), F.lit(0)), F.lit(0))
+    inside = _within(counts, picks).withColumn("slot", slot)
+    slots = inside.groupBy("name", "total", "rank", "before", "slot").agg(
+        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    upto = Window.partitionBy("name", "rank").orderBy("slot")
+    stop = F.col("before") + F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    held = slots.withColumn("stop", stop).withColumn("before", F.col("stop") - F.col("n"))
+    held = held.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("stop")))
+    return held.select("name", "total", "rank", "before", "lo", "hi")
+
+
+def _within(counts: DataFrame, picks: DataFrame) -> DataFrame:
+    """The counted values in the range of each pick."""
+    mine = F.broadcast(picks.withColumnRenamed("name", "__name"))
+    on = (F.col("name") == F.col("__name")) & F.col("value").between(F.col("lo"), F.col("hi"))
+    return counts.join(mine, on).drop("__name")
+
+
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    accuracy: int | None = None,
-    one_task_rows: int = MAX_ONE_TASK_ROWS,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int | None = None
 ) -> DataFrame:
     """One row with column ``<col>|<p>`` per column and probability, interpolated linearly.
 
-    Exact by default: values are counted first. Beyond ``one_task_rows`` counts, they are
-    range-partitioned and only the ranges that hold a wanted rank are sorted. With
-    ``accuracy`` the result is ``approx_percentile`` with that accuracy, in one pass.
+    Exact by default: values are counted, each wanted rank is narrowed to a thin slice of
+    them, and the slice is ordered. With ``accuracy`` the result is ``approx_percentile``
+    with that accuracy, in one pass.
     """
     if accuracy is not None:
         return df.agg(
@@ -164,55 +187,23 @@ def exact_quantiles(
                 for p in probs
             ]
         )
-    counts = materialize(value_counts_long(df, cols, "double"))
-    if is_small(counts, one_task_rows):
-        points = F.array(*[F.lit(float(p)) for p in probs])
-        found = counts.agg(
-            *[
-                F.percentile(F.when(F.col("name") == c, F.col("value")), points, F.col("n"))
-                .alias(c)
-                for c in cols
-            ]
-        )
-        return found.select(
-            *[
-                F.get(F.col(f"`{c}`"), F.lit(i)).alias(quantile_name(c, p))
-                for c in cols
-                for i, p in enumerate(probs)
-            ]
-        )
-    ranged = in_ranges(counts, "name", "value")
+    counts = value_counts_long(df, cols, "double")
     position = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
-    wanted = F.array_distinct(
-        F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in position]))
-    )
-    holding = (
-        _offsets(ranged, "n", ["name"])
-        .withColumn("total", F.sum("__in_range").over(Window.partitionBy("__by_name")))
-        .withColumn("wanted", wanted)
-        .withColumn(
-            "hits", F.expr("filter(wanted, r -> r >= __start and r < __start + __in_range)")
-        )
-        .where(F.size("hits") > 0)
-    )
-    inside = (
-        Window.partitionBy("name", "__range")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in position])))
+    picks = (
+        counts.groupBy("name")
+        .agg(F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .select("name", "total", F.explode(wanted).alias("rank"), F.lit(0).cast("long").alias("before"), "lo", "hi")
     )
-    # at most two ranges per column and probability, so the hint is safe
+    # first slots of equal ratio, since values may span many magnitudes, then of equal width
+    picks = _narrowed(counts, picks, _signed_log)
+    picks = _narrowed(counts, picks, lambda c: c / 2)
+    upto = Window.partitionBy("name", "rank").orderBy("value")
+    stop = F.col("before") + F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0))
     ranks = (
-        ranged.join(
-            F.broadcast(holding),
-            (F.col("name") == F.col("__by_name")) & (F.col("__range") == F.col("__at")),
-        )
-        .withColumn("stop", F.col("__start") + F.sum("n").over(inside))
-        .select(
-            "name",
-            "value",
-            "total",
-            F.explode(F.expr("filter(hits, r -> r >= stop - n and r < stop)")).alias("rank"),
-        )
+        _within(counts, picks)
+        .withColumn("stop", stop)
+        .where((F.col("stop") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("stop")))
     )
 
     def at(c: str, rank: Column) -> Column:

@@ -13,7 +13,7 @@ from wayside.functions.numeric import dominant_feature, weighted_infra_score
 from wayside.functions.temporal import day_of_week
 from wayside.functions.text import categorize_text, location_key
 from wayside.operators.cleaning import add_duration, present, select_available, with_timestamps
-from wayside.operators.scale import broadcast_if_small, by_sets, running_total
+from wayside.operators.scale import by_sets, running_total
 from wayside.session import materialize
 
 FACT_COLS = (
@@ -52,10 +52,18 @@ class Star:
 
 
 def row_order(df: DataFrame) -> Column:
-    """What 'first' means: ``row_seq``, else the number at the end of the ID."""
+    """What 'first' means, for every row: its place among all rows.
+
+    ``row_seq`` if there is one (unique; a null comes last). Else the number at the end of
+    the ID, then the ID itself; IDs without a number come after all others.
+    """
     if "row_seq" in df.columns:
-        return F.col("row_seq").cast("long")
-    return F.regexp_extract("ID", r"(\d+)$", 1).try_cast("long")
+        return F.coalesce(F.col("row_seq").cast("long"), F.lit(2**63 - 1))
+    if "ID" not in df.columns:
+        raise ValueError("the order of rows needs a column row_seq or ID")
+    # 38 digits; a longer number counts as none, and the text decides
+    number = F.regexp_extract("ID", r"(\d+)$", 1).try_cast("decimal(38,0)")
+    return F.struct(number.isNull().alias("no_number"), number.alias("number"), F.coalesce("ID", F.lit("")).alias("id"))
 
 
 def surrogate_id(df: DataFrame, first_seen: str, key: str, prefix: str, out: str) -> DataFrame:
@@ -158,7 +166,7 @@ def _dim_weather(seen: DataFrame) -> DataFrame:
 
 def attach_weather_id(df: DataFrame, dim_weather: DataFrame) -> DataFrame:
     """Left join on the weather text; a null text matches a null entry."""
-    dim = broadcast_if_small(dim_weather).select(
+    dim = dim_weather.select(
         "weather_id", F.col("Weather_Condition").alias("__text")
     )
     return df.join(dim, F.col("Weather_Condition").eqNullSafe(F.col("__text")), "left").drop(
@@ -187,15 +195,15 @@ def build_fact(
 def star_join(star: Star, settings: Settings = DEFAULT) -> DataFrame:
     """Every fact row with its dimensions and the derived columns of the aggregates.
 
-    Dimensions counted to be small are broadcast, so the fact is not shuffled.
-    Beyond that AQE splits a location that holds a large part of the fact.
+    Spark broadcasts a dimension whose bytes are below its limit, so the fact is not
+    shuffled. Beyond that AQE splits a location that holds a large part of the fact.
     """
     # one row per calendar day, so the size is bounded by the calendar
     days = F.broadcast(star.dim_time)
     joined = (
         star.accident_detail.join(days, F.col("full_date") == F.col("Date"), "left")
-        .join(broadcast_if_small(star.dim_location), "Location_id", "left")
-        .join(broadcast_if_small(star.dim_weather), "weather_id", "left")
+        .join(star.dim_location, "Location_id", "left")
+        .join(star.dim_weather, "weather_id", "left")
     )
     return joined.withColumns(
         {

@@ -33,20 +33,30 @@ from wayside.operators.features import (
 )
 from wayside.operators.profiling import duplicate_count, range_profile, top_missing
 from wayside.operators.reconcile import (
+    check_aggregates,
     quality_report,
     reconcile_city,
     reconcile_totals,
     reconcile_weather,
     recount,
 )
-from wayside.operators.rules import check_quality, check_rules, check_star, raise_failures
+from wayside.operators.rules import (
+    check_keys,
+    check_quality,
+    check_rules,
+    check_star,
+    raise_failures,
+)
 from wayside.operators.star import (
     DIMENSIONS,
     Star,
     build_dimensions,
     build_fact,
 )
+from wayside.session import materialize, scratch_removed
 from wayside.sources.tables import (
+    BAD_RECORD,
+    bad_records,
     read_incidents,
     read_star,
     read_table,
@@ -108,16 +118,13 @@ def profile(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def clean(
-    df: DataFrame, settings: Settings = DEFAULT, sensors: Sequence[str] = SENSOR_COLS
-) -> DataFrame:
+def clean(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """The cleaned table with all derived columns.
 
-    Medians are taken before capping and before rows with an invalid severity go.
-    They are the only part that needs a pass of its own over the rows; a caller
-    that uses no sensor column saves it with ``sensors=()``.
+    Medians are taken before capping and before rows with an invalid severity go. They
+    need a pass of their own over the rows, which a plan without sensor columns drops.
     """
-    filled = impute_constant(impute_median(with_timestamps(df), sensors), settings.fill_values)
+    filled = impute_constant(impute_median(with_timestamps(df), SENSOR_COLS), settings.fill_values)
     for c, lo, hi in (
         ("Temperature(F)", settings.temp_min, settings.temp_max),
         ("Visibility(mi)", settings.visibility_min, settings.visibility_max),
@@ -143,15 +150,27 @@ def clean_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def build_star(
-    df: DataFrame, settings: Settings = DEFAULT, dims: Sequence[str] = DIMENSIONS
+    df: DataFrame,
+    settings: Settings = DEFAULT,
+    dims: Sequence[str] = DIMENSIONS,
+    verify: bool = True,
 ) -> Star:
     """Three dimensions and the fact of a cleaned table.
 
     The dimensions come from one pass over the rows, which runs at once and is
-    kept; ``dims`` names the wanted ones. The fact stays lazy.
+    kept; ``dims`` names the wanted ones. The fact stays lazy. A star with all dimensions
+    is verified (keys unique, no orphans, durations capped) and must pass.
     """
     built = build_dimensions(df, settings, dims)
-    return Star(accident_detail=build_fact(df, built.get("dim_weather"), settings), **built)
+    star = Star(accident_detail=build_fact(df, built.get("dim_weather"), settings), **built)
+    if verify and len(built) == len(DIMENSIONS):
+        verify_star(star, settings)
+    return star
+
+
+def verify_star(star: Star, settings: Settings = DEFAULT) -> None:
+    """Raise with the failing findings on keys, orphans and durations."""
+    raise_failures(check_keys(star).unionByName(check_star(star, settings)))
 
 
 def build_aggregates(star: Star, settings: Settings = DEFAULT) -> dict[str, DataFrame]:
@@ -167,6 +186,11 @@ def build_aggregates(star: Star, settings: Settings = DEFAULT) -> dict[str, Data
     return {name: f(rolled[name], settings) for name, f in make.items()}
 
 
+def verify_aggregates(aggs: Mapping[str, DataFrame]) -> None:
+    """Raise if a share is no share, or clear weather is not its own baseline."""
+    raise_failures(check_aggregates(aggs))
+
+
 def validate_outputs(
     base: DataFrame,
     aggs: Mapping[str, DataFrame],
@@ -223,37 +247,55 @@ def run_etl(
     settings: Settings = DEFAULT,
     fmt: str = "csv",
     with_profile: bool = True,
+    multi_line: bool = False,
 ) -> EtlResult:
     """Load, profile, clean, star, aggregates, validation; every stage is written.
 
-    Each stage reads the written tables of the one before, so a lost executor
-    costs a retry within a stage, and table sizes are known when Spark plans joins.
+    The source is parsed once. Each stage reads the written tables of the one before, so
+    a lost executor costs a retry within a stage, and table sizes are known when Spark
+    plans joins. Tables are checked before they replace those of an earlier run; the
+    number of unreadable records is in ``profile/bad_records``. Scratch tables go at the
+    end, also after an error.
     """
-    out = out.rstrip("/")
-    raw = filter_years(
-        read_incidents(spark, source, fmt), settings.start_year, settings.end_year
-    )
-    about = {"summary": agg.summary(raw)}
+    with scratch_removed(spark):
+        return _run_etl(spark, source, out.rstrip("/"), settings, fmt, with_profile, multi_line)
+
+
+def _run_etl(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    settings: Settings,
+    fmt: str,
+    with_profile: bool,
+    multi_line: bool,
+) -> EtlResult:
+    parsed = materialize(read_incidents(spark, source, fmt, multi_line, keep_bad=True))
+    raw = filter_years(parsed.drop(BAD_RECORD), settings.start_year, settings.end_year)
+    about = {"bad_records": bad_records(parsed), "summary": agg.summary(raw)}
     if with_profile:
         about |= profile(raw)
     at_once(
         [partial(write_table, table, f"{out}/profile/{name}") for name, table in about.items()]
     )
 
-    write_table(clean(raw, settings), f"{out}/cleaned")
+    checked = materialize(clean(raw, settings))
+    raise_failures(check_rules(checked, "cleaner", cleaner_gate_rules(settings)))
+    write_table(checked, f"{out}/cleaned")
     cleaned = read_table(spark, f"{out}/cleaned")
-    raise_failures(check_rules(cleaned, "cleaner", cleaner_gate_rules(settings)))
 
     paths = star_paths(out)
-    dims = build_dimensions(cleaned, settings)
-    at_once([partial(write_small, name, dim, paths[name]) for name, dim in dims.items()])
-    write_table(
-        build_fact(cleaned, read_table(spark, paths["dim_weather"]), settings),
-        paths["accident_detail"],
+    dims = {name: materialize(dim) for name, dim in build_dimensions(cleaned, settings).items()}
+    fact = materialize(build_fact(cleaned, dims["dim_weather"], settings))
+    verify_star(Star(accident_detail=fact, **dims), settings)
+    at_once(
+        [partial(write_small, name, dim, paths[name]) for name, dim in dims.items()]
+        + [partial(write_table, fact, paths["accident_detail"])]
     )
     star = read_star(spark, out)
 
-    built = build_aggregates(star, settings)
+    built = {name: materialize(table) for name, table in build_aggregates(star, settings).items()}
+    verify_aggregates(built)
     at_once(
         [
             partial(write_small, name, table, f"{out}/aggregates/{name}")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +17,8 @@ def get_session(app_name: str = "wayside", **conf: str) -> SparkSession:
     """Session with the settings the engine relies on; ``conf`` wins over them.
 
     Shuffle partitions are left to the caller (a cluster sets its own, and AQE
-    coalesces them); the rest fixes semantics or lets AQE split skewed joins.
+    coalesces them); the rest fixes semantics, lets AQE split skewed joins, and
+    bounds by bytes what Spark broadcasts.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -23,6 +27,7 @@ def get_session(app_name: str = "wayside", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", "64m")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -38,15 +43,38 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wayside-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_open: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _open:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables made inside, also after an error.
+
+    What is wanted later must be written elsewhere before the end.
+    """
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open[:] = [p for p in _open if p is not paths]
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayside.config import WEATHER_RULES_CHECKING
+from wayside.functions.temporal import parse_timestamp, repaired_text
 from wayside.functions.text import categorize_text
 from wayside.operators.aggregates import sort_output
 from wayside.operators.cleaning import with_timestamps
@@ -58,45 +61,112 @@ CSV_OPTIONS = {
 }
 
 
-def raw_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(c, RAW_TYPES.get(c, T.StringType()), True) for c in columns]
-    )
-
-
-def _missing_to_null(df: DataFrame, texts: bool) -> DataFrame:
+def _missing_to_null(df: DataFrame) -> DataFrame:
     fixes = {}
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
-        if texts and isinstance(f.dataType, T.StringType):
-            fixes[f.name] = F.when(~c.isin(*MISSING_TEXTS), c)
-        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.col(f"`{f.name}`")
             fixes[f.name] = F.when(~F.isnan(c), c)
     return df.withColumns(fixes) if fixes else df
 
 
+#: Column of the records that the CSV reader could not take as they are.
+BAD_RECORD = "_bad_record"
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files at ``path`` by their header.
+
+    Only the first line of a file is read, by the driver; files are few beside their rows.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for (name,) in listed.where("length > 0").select("path").orderBy("path").collect():
+        file = jvm.org.apache.hadoop.fs.Path(name)
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = codecs.getCodec(file)
+            plain = codec.createInputStream(stream) if codec is not None else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        names = next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
+        out.setdefault(tuple(names), []).append(name)
+    return out
+
+
 def read_incidents(
-    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False, keep_bad: bool = False
 ) -> DataFrame:
     """The raw incident table with its two time columns parsed.
 
-    For CSV the header gives the column order; declared columns get their type,
-    without a pass over the data to infer it. NaN and, in a CSV, the texts that
-    stand for a missing value become null. ``multi_line`` allows line breaks inside
-    quotes, which keeps Spark from splitting a file.
+    For CSV each file's own header gives its column order; a column that a file lacks is
+    null in its rows. Declared columns get their type, without a pass over the data to
+    infer it. NaN and, in a CSV, the texts that stand for a missing value become null, and
+    damaged time texts are repaired as far as possible. ``multi_line`` allows line breaks
+    inside quotes, which keeps Spark from splitting a file: write many files of moderate
+    size then. With ``keep_bad`` the column ``_bad_record`` holds the text of every record
+    that does not fit its header or types (see ``bad_records``), else null.
     """
     try:
         if fmt == "csv":
-            reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
-            header = reader.csv(path).columns
-            raw = reader.schema(raw_schema(header)).csv(path)
+            parts = [
+                spark.read.options(**CSV_OPTIONS, multiLine=multi_line, columnNameOfCorruptRecord=BAD_RECORD)
+                .schema(T.StructType([T.StructField(c, T.StringType()) for c in (*header, BAD_RECORD)]))
+                .csv(files)
+                for header, files in csv_headers(spark, path).items()
+            ]
+            if not parts:
+                raise FileNotFoundError(path)
+            texts = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+            raw = _typed(texts)
         else:
             raw = spark.read.format(fmt).load(path)
+            if keep_bad:
+                raw = raw.withColumn(BAD_RECORD, F.lit(None).cast("string"))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from e
         raise
-    return with_timestamps(_missing_to_null(raw, texts=fmt == "csv"))
+    found = _missing_to_null(with_timestamps(raw))
+    return found if keep_bad else found.drop(BAD_RECORD)
+
+
+def _typed(texts: DataFrame) -> DataFrame:
+    """Declared columns in their types; a value that does not fit makes its record bad."""
+    out, misfits = {}, []
+    for c in texts.columns:
+        if c == BAD_RECORD:
+            continue
+        text = F.col(f"`{c}`")
+        text = F.when(~text.isin(*MISSING_TEXTS), text)
+        out[c] = text
+        kind = RAW_TYPES.get(c)
+        if c in ("Start_Time", "End_Time"):
+            parsed = parse_timestamp(text)
+            out[c] = F.coalesce(parsed, parse_timestamp(repaired_text(text)))
+        elif kind is not None and not isinstance(kind, T.StringType):
+            out[c] = text.try_cast(kind)
+        else:
+            continue
+        misfits.append(F.when(text.isNotNull() & out[c].isNull(), F.concat(F.lit(f"{c}="), text)))
+    wrong = F.concat_ws(", ", *misfits) if misfits else F.lit("")
+    bad = F.coalesce(F.col(BAD_RECORD), F.when(wrong != "", wrong))
+    # from the texts in one step, so that a record is looked at as it was read
+    return texts.select(*[v.alias(c) for c, v in out.items()], bad.alias(BAD_RECORD))
+
+
+def bad_records(df: DataFrame) -> DataFrame:
+    """One row: rows, and records that were not read as they are. ``df`` was read with ``keep_bad``.
+
+    A record is bad if its number of fields is not its header's, or a value does not have
+    the declared type; a text that stands for a missing value is not bad.
+    """
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(BAD_RECORD).alias("n_bad"), F.min(BAD_RECORD).alias("example")
+    )
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
