@@ -72,7 +72,7 @@ def remove_repeats(
     """
     anchor = min(ANCHOR, size)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    bits = sketch.bits_for(sketch.text_bytes(rows, "text") / 32)
+    bits = sketch.bits_for(sketch.text_bytes(rows, "text") / 8)
 
     def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         text = batch.column("text")
@@ -87,14 +87,10 @@ def remove_repeats(
 
     often = sketch.repeated(rows.select("text"), keys_of, bits, DEPTH)
 
-    def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        first = word_hashes(words)
+    def estimated(words: Words, first: np.ndarray) -> np.ndarray:
+        """Starts of the windows that may repeat."""
         begin, keys = _window_keys(first, words.at, size, anchor)
-        begin = begin[sketch.seen_twice(often.value, keys, bits, DEPTH)]
-        if not len(begin):
-            return begin, begin, begin
-        second = word_hashes(words, 1)
-        return begin, span_hashes(first, begin, begin + size), span_hashes(second, begin, begin + size, 1)
+        return begin[sketch.seen_twice(often.value, keys, bits, DEPTH)]
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,11 +98,8 @@ def remove_repeats(
             for i, j in slices(text):
                 part = text.slice(i, j - i)
                 words = words_of(part)
-                begin, one, two = windows(words)
-                cut = np.searchsorted(begin, words.at)
-                doc = np.repeat(np.arange(j - i), np.diff(cut))
-                at = pa.array(cut, pa.int32())
-                found = np.diff(cut) > 0
+                begin = estimated(words, word_hashes(words))
+                found = np.diff(np.searchsorted(begin, words.at)) > 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(i, j - i),
@@ -114,24 +107,49 @@ def remove_repeats(
                         pa.array(np.diff(words.at), pa.int64()),
                         pa.array([_digest(w) for w in _texts(part)], pa.string()),
                         part.take(pa.array(np.arange(j - i), mask=~found)),
-                        pa.ListArray.from_arrays(at, pa.array(one.astype(np.uint64).view(np.int64))),
-                        pa.ListArray.from_arrays(at, pa.array(two.astype(np.uint64).view(np.int64))),
-                        pa.ListArray.from_arrays(at, pa.array(begin - words.at[doc], pa.int32())),
                     ],
-                    names=["row", "doc_id", "n_words", "sha", "text", "one", "two", "pos"],
+                    names=["row", "doc_id", "n_words", "sha", "text"],
                 )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    # the text is kept only where a window may repeat
     seen = materialize(
         rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-            second_pass,
-            f"row long, doc_id {id_type}, n_words long, sha string, text string, "
-            "one array<long>, two array<long>, pos array<int>",
+            second_pass, f"row long, doc_id {id_type}, n_words long, sha string, text string"
         )
     )
-    window = seen.where((F.size("pos") > 0) & F.col("doc_id").isNotNull()).select(
-        "row", "doc_id", F.inline(F.arrays_zip("one", "two", "pos"))
+    # a copy of a whole earlier document repeats all its windows; they need no grouping
+    known = seen.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    whole = known.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    whole = whole.where(F.col("first") < F.col("last")).select("sha", "first")
+    copies = materialize(
+        known.select("row", "doc_id", "sha").join(whole, "sha").where(F.col("doc_id") > F.col("first")).select("row")
     )
+    single = materialize(known.select("row", "doc_id", "text").join(copies, "row", "left_anti"))
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("text")
+            for i, j in slices(text):
+                words = words_of(text.slice(i, j - i))
+                first = word_hashes(words)
+                begin = estimated(words, first)
+                one = span_hashes(first, begin, begin + size)
+                two = span_hashes(word_hashes(words, 1), begin, begin + size, 1)
+                doc = np.searchsorted(words.at, begin, "right") - 1
+                at = pa.array(doc + i)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(one.view(np.int64)),
+                        pa.array(two.view(np.int64)),
+                        batch.column("doc_id").take(at),
+                        batch.column("row").take(at),
+                        pa.array(begin - words.at[doc], pa.int32()),
+                    ],
+                    names=["one", "two", "doc_id", "row", "pos"],
+                )
+
+    window = single.mapInArrow(spell, f"one long, two long, doc_id {id_type}, row long, pos int")
     first = (
         window.groupBy("one", "two")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -169,19 +187,20 @@ def remove_repeats(
             )
 
     stripped = (
-        seen.where(F.col("text").isNotNull())
-        .select("row", "text")
+        single.select("row", "text")
         .join(repeats, "row")
         .mapInArrow(strip, "row long, n long, sha2 string, kept string")
     )
+    gone = copies.select("row", F.lit(True).alias("copy"))
     return (
         seen.select("row", "doc_id", "n_words", "sha")
         .join(stripped, "row", "left")
+        .join(gone, "row", "left")
         .select(
             F.col("doc_id").alias(id_col),
             "n_words",
-            F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
-            F.coalesce("sha2", "sha").alias("kept_sha256"),
-            "kept",
+            F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n", F.lit(0))).cast("long").alias("n_removed"),
+            F.when(F.col("copy"), F.lit(_digest([]))).otherwise(F.coalesce("sha2", "sha")).alias("kept_sha256"),
+            F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept")).alias("kept"),
         )
     )
