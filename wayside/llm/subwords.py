@@ -98,6 +98,11 @@ class SubwordEncoder:
 
     def encode(self, words: Words, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and each text's offsets in them."""
+        ids, at = self.encode_words(words, hashes)
+        return ids, at[words.at]
+
+    def encode_words(self, words: Words, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and each word's offsets in them."""
         if hashes is None:
             hashes = word_hashes(words)
         self.lookup(words, hashes)
@@ -106,7 +111,7 @@ class SubwordEncoder:
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
         source = np.repeat(self.begin[at] - (ends - length), length) + np.arange(total)
-        return self.ids[source], np.concatenate([[0], ends])[words.at]
+        return self.ids[source], np.concatenate([[0], ends])
 
 
 @cache
