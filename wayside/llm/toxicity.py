@@ -20,7 +20,7 @@ from wayside.llm.hashed import BITS, sigmoid, stripped
 from wayside.llm.spans import Words, slices, word_hashes, words_of
 
 #: The scorer learns from at most so many labelled rows, taken in the order of a hash.
-TRAIN_DOCS = 8000
+TRAIN_DOCS = 6000
 EPOCHS = 150
 #: Bytes of a word's beginning that are features of their own.
 PREFIXES = (4, 5)
@@ -103,10 +103,14 @@ class ToxicityModel:
 
 def _telling(feature: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Features that tell toxic training documents from others, ascending."""
-    pairs = np.unique(doc.astype(np.int64) << BITS | feature)
-    f, toxic = pairs & ((1 << BITS) - 1), label[pairs >> BITS] > 0
-    a = np.bincount(f[toxic], minlength=1 << BITS)
-    b = np.bincount(f[~toxic], minlength=1 << BITS)
+    in_docs = np.zeros((2, 1 << BITS), np.int64)
+    cuts = np.searchsorted(doc, np.arange(0, len(label) + 500, 500))  # 500 documents at once
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        pairs = np.unique(doc[lo:hi].astype(np.int64) << BITS | feature[lo:hi])
+        toxic = label[pairs >> BITS] > 0
+        for k in (0, 1):
+            in_docs[k] += np.bincount(pairs[toxic == k] & ((1 << BITS) - 1), minlength=1 << BITS)
+    b, a = in_docs
     n1, n0 = max((label > 0).sum(), 1), max((label == 0).sum(), 1)
     both = (a + b + 1) / (n1 + n0 + 2)
     z = np.abs(a / n1 - b / n0) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / n0))
@@ -116,9 +120,10 @@ def _telling(feature: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndar
 def _train(sentence_of: np.ndarray, feature: np.ndarray, doc_of: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
     """Adam on the mean log loss of the noisy-or; ``sentence_of`` ascends, so does ``doc_of``."""
     used = _telling(feature, doc_of[sentence_of], label)
-    at = np.searchsorted(used, feature).clip(0, max(len(used) - 1, 0))
-    known = used[at] == feature if len(used) else np.zeros(len(feature), bool)
-    sentence_of, feature = sentence_of[known], at[known]
+    place = np.full(1 << BITS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    known = place[feature] >= 0
+    sentence_of, feature = sentence_of[known], place[feature[known]]
     w, b = np.zeros(len(used)), -6.0
     n_docs, n_sent = len(label), len(doc_of)
     m1, m2, b1, b2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -196,8 +201,8 @@ def fit(
     sizes = rows.column("sizes").combine_chunks()
     size = sizes.flatten().to_numpy()
     feature = rows.column("features").combine_chunks().flatten().to_numpy()
-    doc_of = np.repeat(np.arange(len(rows)), pc.list_value_length(sizes).to_numpy())
-    sentence_of = np.repeat(np.arange(len(size)), size)
+    doc_of = np.repeat(np.arange(len(rows), dtype=np.int32), pc.list_value_length(sizes).to_numpy())
+    sentence_of = np.repeat(np.arange(len(size), dtype=np.int32), size)
     return ToxicityModel(*_train(sentence_of, feature, doc_of, rows.column("label").to_numpy()))
 
 
