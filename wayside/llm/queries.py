@@ -14,6 +14,7 @@ from wayside.llm import (
     chat,
     decontaminate,
     jaccard_join,
+    lm_score,
     mixing,
     quality,
     subwords,
@@ -195,3 +196,11 @@ SELECT doc_id, size, source_size, target,
 def op9(spark, sf):
     mixed = mixing.with_copies(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op10_lm_scoring")
+def op10(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = lm_score.score_texts(docs, remainder("doc_id", 7) != 2, subwords.default_path())
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", (~F.col("in_training")).alias("held_out"), *names)
