@@ -128,8 +128,8 @@ def nearest(
     asked = named.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("rep").alias("q"))
 
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    longest = reps.agg(F.max(norm)).first()[0]
-    if longest is None:
+    longest, any_asked = reps.agg(F.max(norm), F.max("asked")).first()
+    if not any_asked:
         return _empty(vectors.sparkSession, id_col)
 
     hashed = materialize(_hash(reps, longest))

@@ -51,26 +51,26 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return (mix(h) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+def _bit(h: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(h) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _bitmap(shingles: DataFrame) -> bytes:
+def _bitmap(shingles: DataFrame, bits: int) -> bytes:
     """Bitmap of fixed size of the hashes in ``h``, merged from those of the partitions."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << BITMAP_BITS, bool)
+        flags = np.zeros(1 << bits, bool)
         for batch in batches:
-            flags[_bit(batch.column("h").to_numpy().view(np.uint64))] = True
+            flags[_bit(batch.column("h").to_numpy().view(np.uint64), bits)] = True
         packed = np.packbits(flags, bitorder="little")
         if packed.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([pa.compress(packed, codec="zstd", asbytes=True)], pa.binary())], names=["bits"]
+                [pa.array([pa.compress(packed, codec="zstd", asbytes=True)], pa.binary())], names=["flags"]
             )
 
-    out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
-    for (bits,) in shingles.select("h").mapInArrow(local, "bits binary").toLocalIterator():
-        out |= np.frombuffer(pa.decompress(bytes(bits), len(out), codec="zstd", asbytes=True), np.uint8)
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for (flags,) in shingles.select("h").mapInArrow(local, "flags binary").toLocalIterator():
+        out |= np.frombuffer(pa.decompress(bytes(flags), len(out), codec="zstd", asbytes=True), np.uint8)
     return out.tobytes()
 
 
@@ -105,8 +105,9 @@ def contained_items(
         parts.select("item_id", "h", "n_item", (F.col("in_sketch") | (F.col("n1") < F.col("n_item"))).alias("in_sketch"))
     )
     sc = docs.sparkSession.sparkContext
-    keys = sc.broadcast(_bitmap(parts.where("in_sketch")))
-    every = sc.broadcast(_bitmap(parts))
+    bits = BITMAP_BITS
+    keys = sc.broadcast(_bitmap(parts.where("in_sketch"), bits))
+    every = sc.broadcast(_bitmap(parts, bits))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, any_of = (np.frombuffer(b.value, np.uint8) for b in (keys, every))
@@ -117,7 +118,7 @@ def contained_items(
         for batch in batches:
             ids, out = batch.column("doc_id").to_numpy(), []
             for i, found in zip(ids, shingle_sets(batch.column("text")), strict=True):
-                at = _bit(found)
+                at = _bit(found, bits)
                 if held(key, at).any():
                     out.append((i, found[held(any_of, at)]))
             yield pa.RecordBatch.from_arrays(

@@ -145,7 +145,7 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def _train(index: list[np.ndarray], shape: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights of hashed words (averaged over a text) and of shape, by full-batch descent."""
-    sizes = np.array([len(i) for i in index])
+    sizes = np.array([len(i) for i in index], np.int64)
     flat = np.concatenate(index) if len(index) else np.zeros(0, np.int32)
     row = np.repeat(np.arange(len(index)), sizes)
     scale = 1 / np.sqrt(np.maximum(sizes, 1))
