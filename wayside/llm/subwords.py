@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
 from wayside.llm.spans import Words, utf8, word_hashes, words_of
 
-MAX_WORDS = 1_500_000
+MAX_WORDS = 1_000_000
+#: Words are found by these leading bits of their hash, else by search.
+SLOT_BITS = 21
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,6 +27,56 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class WordTable:
+    """Words by hash: each has a place, counted from 0 in the order they were added.
+
+    The leading bits of a hash name a slot; words whose slot is taken are searched for.
+    """
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.slot = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.crowded = np.zeros(0, np.uint64)
+        self.crowded_place = np.zeros(0, np.int32)
+
+    def add(self, keys: np.ndarray) -> None:
+        """Adds distinct words that are not in the table."""
+        place = np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
+        self.keys = np.concatenate([self.keys, keys])
+        slot = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        free = self.slot[slot] < 0
+        self.slot[slot[free]] = place[free]
+        left = self.slot[slot] != place
+        both = np.concatenate([self.crowded, keys[left]])
+        order = np.argsort(both, kind="stable")
+        self.crowded = both[order]
+        self.crowded_place = np.concatenate([self.crowded_place, place[left]])[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each word, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        place = np.take(self.slot, (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+        missed = np.flatnonzero(np.take(self.keys, place, mode="clip") != keys)
+        if len(missed):
+            place[missed] = -1
+            if len(self.crowded):
+                wanted = keys[missed]
+                at = np.searchsorted(self.crowded, wanted).clip(0, len(self.crowded) - 1)
+                found = self.crowded[at] == wanted
+                place[missed[found]] = self.crowded_place[at[found]]
+        return place
+
+
+class Known(NamedTuple):
+    """Words and ids by place, as they were at one time."""
+
+    keys: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
+    ids: np.ndarray
+
+
 class SubwordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -36,13 +89,19 @@ class SubwordEncoder:
         self.lowers = ids[0] == ids[2]
         #: Words of a-z alone reach the model unchanged.
         self.plain = self.lowers and [t.id for t in self.model.tokenize("ab")] == ids[2]
+        self.life = 0
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
+        """Drops all known words; places count from 0 again, and a new life begins."""
+        self.table = WordTable()
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
+        self.life += 1
+
+    def known(self) -> Known:
+        return Known(self.table.keys, self.begin, self.length, self.ids)
 
     @property
     def size(self) -> int:
@@ -54,47 +113,41 @@ class SubwordEncoder:
         return words_of(column, lower=self.lowers and not (data == ord("<")).any())
 
     def _learn(self, words: Words, at: np.ndarray, keys: np.ndarray) -> None:
-        """Adds the words at these positions, whose hashes are the keys."""
-        raw = words.data.tobytes()
-        spans = zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)
-        text = [raw[a:b].decode("utf-8", "replace") for a, b in spans]
-        out: list[list[int] | None] = [None] * len(text)
-        other = []
-        for i, w in enumerate(text):
-            if self.plain and w.isascii() and w.isalpha() and w.islower():
-                out[i] = [t.id for t in self.model.tokenize(w)]
-            else:
-                other.append(i)
-        for i, e in zip(other, self.whole.encode_batch_fast([text[i] for i in other], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        length = np.array([len(o) for o in out], np.int32)
-        flat = np.fromiter((x for o in out for x in o), np.int32, int(length.sum()))
-        if len(self.keys) + len(keys) > MAX_WORDS:
-            self.forget()
-        begin = len(self.ids) + np.cumsum(length) - length
-        self.ids = np.concatenate([self.ids, flat])
-        keys, begin, length = (np.concatenate(p) for p in ((self.keys, keys), (self.begin, begin), (self.length, length)))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.begin, self.length = keys[order], begin[order], length[order]
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.searchsorted(self.keys, keys).clip(0, len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-    def lookup(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes, how often each occurs, and their places in this encoder."""
-        keys, first, n = np.unique(hashes, return_index=True, return_counts=True)
-        at, known = self._find(keys)
-        if not known.all():
-            new = ~known
-            self._learn(words, first[new], keys[new])
-            at, known = self._find(keys)
-            if not known.all():  # it has started anew
-                self._learn(words, first[~known], keys[~known])
-                at, _ = self._find(keys)
-        return keys, n, at
+        """Adds the words at these positions, whose distinct hashes are the keys."""
+        lengths, flat = [], []
+        for a in range(0, len(at), 20_000):
+            spans = zip(words.starts[at[a : a + 20_000]].tolist(), words.ends[at[a : a + 20_000]].tolist(), strict=True)
+            text = [words.data[i:j].tobytes().decode("utf-8", "replace") for i, j in spans]
+            out: list[list[int]] = [[]] * len(text)
+            other = []
+            for i, w in enumerate(text):
+                if self.plain and w.isascii() and w.isalpha() and w.islower():
+                    out[i] = [t.id for t in self.model.tokenize(w)]
+                else:
+                    other.append(i)
+            encoded = self.whole.encode_batch_fast([text[i] for i in other], add_special_tokens=False)
+            for i, e in zip(other, encoded, strict=True):
+                out[i] = e.ids
+            lengths.append(np.array([len(o) for o in out], np.int32))
+            flat.append(np.fromiter((x for o in out for x in o), np.int32, int(lengths[-1].sum())))
+        length = np.concatenate(lengths)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.ids = np.concatenate([self.ids, *flat])
+        self.table.add(keys)
+
+    def places(self, words: Words, hashes: np.ndarray) -> np.ndarray:
+        """The place of every word; words not met before are encoded."""
+        place = self.table.find(hashes)
+        missed = np.flatnonzero(place < 0)
+        if len(missed):
+            keys, first = np.unique(hashes[missed], return_index=True)
+            if len(self.begin) and len(self.begin) + len(keys) > MAX_WORDS:
+                self.forget()
+                return self.places(words, hashes)
+            self._learn(words, missed[first], keys)
+            place[missed] = self.table.find(hashes[missed])
+        return place
 
     def encode(self, words: Words, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and each text's offsets in them."""
@@ -103,10 +156,7 @@ class SubwordEncoder:
 
     def encode_words(self, words: Words, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and each word's offsets in them."""
-        if hashes is None:
-            hashes = word_hashes(words)
-        self.lookup(words, hashes)
-        at, _ = self._find(hashes)
+        at = self.places(words, word_hashes(words) if hashes is None else hashes)
         length = self.length[at].astype(np.int64)
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
