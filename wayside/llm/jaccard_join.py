@@ -43,7 +43,7 @@ NUM, DEN = 3, 4
 SINGLE = 64
 #: Rows of the sketches of contents; they are made of all sets and of these shares.
 SIGN_DEPTH = 2
-SAMPLES = (1, 16, 256, 4096)
+SAMPLES = (1, 64)
 #: Documents of a group that are compared in a task with as many others, at most.
 BLOCK = 4096
 
@@ -244,7 +244,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return sets.select(F.col("doc_id").alias(d), F.col("n").alias(size), F.col(value).alias(column))
 
     near = pairs.join(side("a", "n", "x", "bits"), "a").join(side("b", "m", "y", "bits"), "b")
-    near = materialize(near.mapInArrow(_possible, "a long, b long").distinct())
+    near = materialize(near.mapInArrow(_possible, "a long, b long"))
     whole = near.join(side("a", "n", "x", "items"), "a").join(side("b", "m", "y", "items"), "b")
     return materialize(whole.mapInArrow(_similar, "a long, b long"))
 
