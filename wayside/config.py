@@ -12,6 +12,7 @@ from typing import Any
 
 # ---------------------------------------------------------------- column names
 
+# Names of the source table's columns.
 SENSOR_COLS = ("Temperature(F)", "Visibility(mi)", "Precipitation(in)")
 PLACE_COLS = ("Street", "City", "County", "State", "Timezone")
 FLAG_COLS = ("Amenity", "Crossing", "Junction", "Railway", "Station", "Stop", "Traffic_Signal")
@@ -27,7 +28,7 @@ INFRA_WEIGHTS = (
 INFRA_COLS = tuple(name for name, _ in INFRA_WEIGHTS)
 
 # The seven-flag score of the exploratory variant.
-INFRA_COLS_WIDE = ("Amenity", "Crossing", "Junction", "Railway", "Station", "Stop", "Traffic_Signal")
+INFRA_COLS_WIDE = FLAG_COLS
 
 # ---------------------------------------------------------------- weather texts
 
@@ -132,6 +133,7 @@ HOURS_EXPLORATORY = HourScheme(
     ),
     "Night",
 )
+# Rush hours and day names, Monday first.
 RUSH_HOURS = (7, 8, 9, 16, 17, 18)
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
@@ -148,9 +150,17 @@ TEMP_LABELS = (
     "Rất Nóng (>95)",
 )
 
+# Labels, and from which value each risk step counts.
 SEVERITY_LABELS = ((1, "Minor"), (2, "Moderate"), (3, "Serious"), (4, "Severe"))
 ANOMALY_LABELS = ("Critical", "High", "Elevated", "Normal")
 RISK_LABELS = ("Extreme", "High", "Moderate", "Low")
+RISK_STEPS_SEVERITY = ((15, 3), (10, 2), (5, 1))
+RISK_STEPS_DURATION = ((30, 2), (15, 1))
+RISK_MOST = 10
+# A total of shares, and how far a recount may lie from an aggregate.
+SHARES_TOTAL = (99, 101)
+SHARE_TOLERANCE = 0.1
+INCREASE_TOLERANCE = 1
 
 # The exploratory variant of filling missing values.
 EXPLORATORY_FILLS = {

@@ -8,7 +8,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wayside.config import DEFAULT, INFRA_COLS, INFRA_WEIGHTS, SEVERITY_LABELS, WEATHER_BASE_RISK
+from wayside.config import (
+    DEFAULT,
+    INFRA_COLS,
+    INFRA_WEIGHTS,
+    RISK_MOST,
+    RISK_STEPS_DURATION,
+    RISK_STEPS_SEVERITY,
+    SEVERITY_LABELS,
+    WEATHER_BASE_RISK,
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -104,9 +113,9 @@ def weather_risk_score(
     """Base risk of the category plus 0-3 for severity and 0-2 for duration, at most 10."""
     cat, sev, dur = _col(category), _col(severity_pct), _col(duration_pct)
     base = ladder(((cat == name, F.lit(risk)) for name, risk in WEATHER_BASE_RISK), unknown_base)
-    for_severity = ladder(((sev > 15, F.lit(3)), (sev > 10, F.lit(2)), (sev > 5, F.lit(1))), 0)
-    for_duration = ladder(((dur > 30, F.lit(2)), (dur > 15, F.lit(1))), 0)
-    return F.least(base + for_severity + for_duration, F.lit(10))
+    for_severity = ladder(((sev > above, F.lit(n)) for above, n in RISK_STEPS_SEVERITY), 0)
+    for_duration = ladder(((dur > above, F.lit(n)) for above, n in RISK_STEPS_DURATION), 0)
+    return F.least(base + for_severity + for_duration, F.lit(RISK_MOST))
 
 
 def risk_category(

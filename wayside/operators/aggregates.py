@@ -41,7 +41,7 @@ from wayside.session import materialize
 MEASURES = ("n_rows", "n_id", "n_high", "n_sev", "sum_sev", "sumsq_sev", "n_dur", "sum_dur")
 LOCATION_KEYS = ("State", "City", "dominant_infra")
 
-# the groups each dashboard is made from
+# The groups each dashboard is made from.
 DASHBOARDS = {
     "agg_federal": ("Year", "State", "City"),
     "agg_state_anomaly": ("Year", "State", "City"),
@@ -489,6 +489,7 @@ def category_rank(c: str, order: Sequence[str]) -> Column:
 
 def sort_output(name: str, df: DataFrame) -> DataFrame:
     """The row order in which a table is written."""
+    # fixed values
     orders = {
         "dim_time": ["Date"],
         "dim_location": ["State", "City", "Location_id"],

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayside.config import DEFAULT, RISK_LABELS, Settings
+from wayside.config import DEFAULT, INCREASE_TOLERANCE, RISK_LABELS, SHARE_TOLERANCE, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
 from wayside.operators.rules import check_percentages, finding
@@ -98,7 +98,7 @@ def reconcile_city(
     name = F.concat_ws(
         " / ", F.coalesce("m_state", "State"), F.coalesce("m_city", "City")
     )
-    near = F.abs(F.col("pct") - F.col("pct_of_state")) < 0.1
+    near = F.abs(F.col("pct") - F.col("pct_of_state")) < SHARE_TOLERANCE
     groups = _one(
         both,
         finding(
@@ -199,7 +199,7 @@ def reconcile_weather(
         both,
         finding(
             stage, F.concat_ws(" / ", "State", "Weather_Category"), "severity_increase_pct",
-            F.abs(F.col("inc") - F.col("severity_increase_pct")) < 1,
+            F.abs(F.col("inc") - F.col("severity_increase_pct")) < INCREASE_TOLERANCE,
             _number(F.rint(F.col("inc") * 100) / 100),
             _number(F.col("severity_increase_pct")), "aggregate says",
         ),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayside.config import DEFAULT, Settings
+from wayside.config import DEFAULT, SHARES_TOTAL, Settings
 from wayside.functions.numeric import ratio, round_even
 from wayside.operators.profiling import q
 from wayside.operators.scale import by_sets, scalar_struct, value_counts_long
@@ -249,7 +249,7 @@ def check_percentages(
     totals = rows.groupBy(*keys).agg(F.sum(c).alias("__total"))
     # a group without any value sums to 0, as an empty sum does
     off = totals.agg(
-        F.count_if(~F.coalesce(F.col("__total"), F.lit(0.0)).between(99, 101)).alias("n")
+        F.count_if(~F.coalesce(F.col("__total"), F.lit(0.0)).between(*SHARES_TOTAL)).alias("n")
     )
     verdict = off.select(
         F.inline(

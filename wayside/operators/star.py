@@ -16,6 +16,7 @@ from wayside.operators.cleaning import add_duration, present, select_available,
 from wayside.operators.scale import by_sets, running_total
 from wayside.session import materialize
 
+# The columns of the fact table, in their order.
 FACT_COLS = (
     "ID",
     "Location_id",
