@@ -21,7 +21,7 @@ from wayside.llm.spans import mix
 #: Cells of one piece of a sketch, the unit of merging.
 PIECE_BITS = 20
 #: Keys gathered before they are packed.
-HELD = 8_000_000
+HELD = 3_000_000
 #: Bounds on the cells of a row: 2**28 cells are 32 MB when broadcast.
 MIN_BITS, MAX_BITS = 20, 28
 
@@ -51,14 +51,15 @@ def _pieces(keys: np.ndarray, bits: int, depth: int) -> pa.RecordBatch:
     rows: list[tuple[int, bytes, bytes]] = []
     per_row = 1 << (bits - PIECE_BITS)
     for row in range(depth):
-        found, n = np.unique(cells(keys, row, bits), return_counts=True)
-        cuts = np.searchsorted(found, np.arange(per_row + 1, dtype=np.uint64) << np.uint64(PIECE_BITS))
+        found = cells(keys, row, bits).astype(np.uint32)
+        found.sort()
+        again = found[1:][found[1:] == found[:-1]]
+        edges = np.arange(per_row + 1, dtype=np.uint64) << np.uint64(PIECE_BITS)
+        cuts, cuts2 = np.searchsorted(found, edges), np.searchsorted(again, edges)
         for piece in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[piece], cuts[piece + 1]
-            inside = (found[a:b] & np.uint64((1 << PIECE_BITS) - 1)).astype(np.int64)
             flags = np.zeros((2, 1 << PIECE_BITS), bool)
-            flags[0, inside] = True
-            flags[1, inside[n[a:b] > 1]] = True
+            for k, (values, at) in enumerate(((found, cuts), (again, cuts2))):
+                flags[k, values[at[piece] : at[piece + 1]] & np.uint32((1 << PIECE_BITS) - 1)] = True
             rows.append((row * per_row + int(piece), _pack(flags[0]), _pack(flags[1])))
     return pa.RecordBatch.from_arrays(
         [
