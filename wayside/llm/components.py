@@ -27,17 +27,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where(F.col("u") != F.col("v"))
         .distinct()
     )
+    mark = _mark(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where(F.col("u") != F.col("v")).distinct())
+        large = materialize(large.where(F.col("u") != F.col("v")))
         # small star: every node and its smaller neighbours hang on the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(least, "u")
         small = hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = materialize(least.select("u", F.col("m").alias("v")).union(small).distinct())
-        if _mark(after) == _mark(edges):
+        before, mark = mark, _mark(after)
+        if mark == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )

@@ -349,8 +349,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b").distinct()
     star = groups.where("a != doc").select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
     found = materialize(found.union(_links(star, sets)))
-    rest = _rest(groups, components(found), sets)
-    comps = components(found.union(_links(rest, sets)))
+    comps = components(found)
+    more = _links(_rest(groups, comps, sets), sets)
+    if not more.isEmpty():
+        comps = components(found.union(more))
     return seen.join(comps, F.col("doc_id") == F.col("node"), "left").select(
         F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
