@@ -97,3 +97,23 @@ def test_strings_agree_more_for_near_vectors():
     first = lambda s: ann._prefix(s, 1)
     assert (first(a) == first(b)).mean() > 0.5 > 0.1 > (first(a) == first(np.roll(b, 1, axis=0))).mean()
     assert np.array_equal(ann.strings(x), a)
+
+
+def test_many_ties_go_to_the_smaller_id(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_want", lambda *a: 1 << 40)  # every query is compared with all vectors
+    rng = np.random.default_rng(4)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(1200), rng.choice([-1.0, 1.0], (1200, 14)), strict=True)]
+    got = nearest(make(spark, rows)).collect()
+    want = brute(rows)
+    assert len({s for m in want.values() for s, _ in m}) < 10
+    by_query = {i: sorted((r.rank, r.vec_id) for r in got if r.query_id == i) for i in want}
+    assert all([j for _, j in by_query[i]] == [j for _, j in m] for i, m in want.items())
+
+
+def test_best_keeps_ties_and_breaks_them_by_id():
+    x = np.array([[1.0, 0.0], [0.0, 1.0]])[np.arange(3000) % 2]
+    rep, h = np.random.default_rng(5).permutation(3000), np.zeros(3000, np.int64)
+    row, col, score = ann._best(np.array([[1.0, 0.0], [0.0, 2.0]]), x, rep, h, 21)
+    for k in (0, 1):
+        assert rep[col[row == k]].tolist() == sorted(rep[k::2])[:21]
+        assert (score[row == k] == k + 1).all()

@@ -39,6 +39,8 @@ TARGET = 0.96
 SAMPLE = 128
 #: Vectors, and queries, of a block.
 BLOCK = 8192
+#: Pairs scored exactly at once.
+PAIRS = 1 << 15
 SEED = 11
 
 
@@ -90,6 +92,29 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(axis=-1)
 
 
+def _best(
+    q: np.ndarray, x: np.ndarray, rep: np.ndarray, h: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, vector and score of the ``k`` best of each query: by score, then by (rep, h).
+
+    Rough products only leave out what lies below the k-th by more than rounding explains;
+    the rest, with all that tie there, are scored exactly.
+    """
+    rough = q @ x.T
+    at = max(len(x) - k, 0)
+    longest = np.sqrt((x * x).sum(axis=1).max())
+    margin = 4 * x.shape[1] * np.finfo(float).eps * longest * np.sqrt((q * q).sum(axis=1)) + np.finfo(float).tiny
+    least = np.partition(rough, at, axis=1)[:, at] - margin
+    row, col = np.nonzero(rough >= least[:, None])
+    score = np.concatenate(
+        [_products(q[row[i : i + PAIRS]], x[col[i : i + PAIRS]]) for i in range(0, len(row), PAIRS)]
+    )
+    order = np.lexsort((h[col], rep[col], -score, row))
+    first = np.searchsorted(row, np.arange(len(q)))  # rows ascend before and after
+    keep = order[np.arange(len(row)) - first[row] < k]
+    return row[keep], col[keep], score[keep]
+
+
 def _by_length(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     sizes = pc.list_value_length(batch.column(column))
     for n in pc.unique(sizes).to_pylist():
@@ -139,7 +164,7 @@ def nearest(
     own = reps.where("asked = 1").select(
         F.col("rep").alias("q"), F.col("rep").alias("c"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x).alias("s")
     )
-    best = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("c.rep"))
+    best = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("c"))
     near = (
         found.select("q", "c", F.col("s").alias("score"))
         .where(F.col("q") != F.col("c"))
@@ -316,6 +341,7 @@ def _group(k: int):
         one = lambda t, c: t.column(c).combine_chunks() if isinstance(t.column(c), pa.ChunkedArray) else t.column(c)
         x, q = _matrix(one(held, "v")), _matrix(one(asked, "v"))
         s = one(held, "s").to_numpy().astype(np.int64)
+        rep, h = (one(held, "rep").field(c).to_numpy() for c in ("rep", "h"))
         at, n = one(asked, "s").to_numpy().astype(np.int64), one(asked, "n").to_numpy()
         shift = CHAR_BITS * (LENGTH - n)
         shift[n == 0] = 62
@@ -331,12 +357,10 @@ def _group(k: int):
             if a == b:
                 continue
             for part in np.array_split(group, -(-len(group) // 256)):
-                rough = q[part] @ x[a:b].T
-                m = min(k + 4, b - a)
-                best = np.argpartition(-rough, m - 1, axis=1)[:, :m] + a
-                rows.append(np.repeat(part, m))
-                cols.append(best.ravel())
-                scores.append(_products(q[part][:, None, :], x[best]).ravel())
+                row, col, score = _best(q[part], x[a:b], rep[a:b], h[a:b], k + 1)  # a query may find itself
+                rows.append(part[row])
+                cols.append(col + a)
+                scores.append(score)
         if not rows:
             return empty
         rows, cols = np.concatenate(rows), np.concatenate(cols)
