@@ -100,3 +100,12 @@ def test_on_the_given_tables(spark):
     toxic = [r.predicted for r in got if r.toxic]
     clean = [r.predicted for r in got if not r.toxic]
     assert np.mean(toxic) >= 0.8 and np.mean(clean) <= 0.02
+
+
+def test_length_alone_is_not_toxic(spark, make_docs):
+    rows, labels = labelled()
+    model = fit(make_docs(rows), make_labels(spark, labels))
+    neutral = "Quiet morning by the harbour. " * 20_000
+    one, many = model.score(pa.array(["Quiet morning by the harbour.", neutral]))
+    assert one == many == 0.0
+    assert model.score(pa.array([neutral + "You are scum w1."]))[0] >= 0.5

@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored.
 
 A sentence's probability p comes from a logistic scorer over its distinct hashed
-words and word beginnings; a document's is noisy-or, 1 - prod(1 - p) over its sentences. The scorer is
+words and word beginnings; a document's is noisy-or, 1 - prod(1 - p) over its sentences. A
+sentence without learnt features has p = 0, so length alone makes no text toxic. The scorer is
 trained through the noisy-or from document labels alone, on a bounded sample of labelled
 rows, and then finds the offending sentences of any text.
 """
@@ -64,6 +65,13 @@ def _distinct(words: Words, at: np.ndarray, known: np.ndarray) -> tuple[np.ndarr
     return both >> BITS, both & ((1 << BITS) - 1)
 
 
+def _logit(sentence: np.ndarray, weight: np.ndarray, n: int, bias: float) -> np.ndarray:
+    """Logit of every sentence; minus infinity for those without learnt features."""
+    z = np.bincount(sentence, weight, n) + bias
+    z[np.bincount(sentence, minlength=n) == 0] = -np.inf
+    return z
+
+
 def _noisy_or(log_rest: np.ndarray) -> np.ndarray:
     """1 - exp of the sum of log(1 - p) of a text's sentences."""
     return -np.expm1(np.minimum(log_rest, 0.0))
@@ -77,7 +85,7 @@ class ToxicityModel:
     def _logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         at = sentences(words)
         sentence, feature = _distinct(words, at, self.known)
-        return np.bincount(sentence, self.weights[feature], len(at) - 1) + self.bias, at
+        return _logit(sentence, self.weights[feature], len(at) - 1, self.bias), at
 
     def score(self, column: pa.Array) -> np.ndarray:
         """Probability of toxic for every text; a text without words has 0."""
@@ -128,7 +136,7 @@ def _train(sentence_of: np.ndarray, feature: np.ndarray, doc_of: np.ndarray, lab
     n_docs, n_sent = len(label), len(doc_of)
     m1, m2, b1, b2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, EPOCHS + 1):
-        z = np.bincount(sentence_of, w[feature], n_sent) + b
+        z = _logit(sentence_of, w[feature], n_sent, b)
         rest = np.bincount(doc_of, -np.logaddexp(0.0, z), n_docs)
         p = np.clip(_noisy_or(rest), 1e-9, 1 - 1e-9)
         # derivative of the loss by log(1 - P) of the document, spread over its sentences
