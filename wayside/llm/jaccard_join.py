@@ -1,4 +1,7 @@
-"""All links between documents whose word shingles are similar, by PartEnum signatures.
+"""Components of documents whose word shingles are similar, by prefix filtering in bands.
+
+The bands and partitions are those of PartEnum; its enumerated subsets are replaced by the
+first contents in a common order. Components are exact; not every link within one is found.
 
 Two sets with a Jaccard similarity of 3/4 or more differ in at most (|a| + |b|) / 7
 elements. Sets are sorted into size bands; every set signs in its own band and in the
