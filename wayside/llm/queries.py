@@ -17,6 +17,7 @@ from wayside.llm import (
     lm_score,
     mixing,
     quality,
+    simhash,
     subwords,
     substring_dedup,
     token_files,
@@ -204,3 +205,8 @@ def op10(spark, sf):
     scored = lm_score.score_texts(docs, remainder("doc_id", 7) != 2, subwords.default_path())
     names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     return scored.select("doc_id", (~F.col("in_training")).alias("held_out"), *names)
+
+
+@register("op11_simhash_near_dedup")
+def op11(spark, sf):
+    return simhash.link_documents(table(spark, sf, "documents"))
