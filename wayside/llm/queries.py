@@ -17,6 +17,7 @@ from wayside.llm import (
     lm_score,
     mixing,
     quality,
+    resample,
     simhash,
     subwords,
     substring_dedup,
@@ -210,3 +211,33 @@ def op10(spark, sf):
 @register("op11_simhash_near_dedup")
 def op11(spark, sf):
     return simhash.link_documents(table(spark, sf, "documents"))
+
+
+_TERM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@register(
+    "op12_importance_resampling",
+    f"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS n)),
+ d AS (SELECT 0 AS k, doc_id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark),
+ w AS (SELECT row_number() OVER () AS r, k, doc_id, regexp_extract_all({_LOWER}, {_TERM}) AS ws FROM d),
+ f AS (SELECT r, k, array_to_string(ws[i:i + m - 1], ' ') AS f
+  FROM (SELECT r, k, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m)),
+ fc AS (SELECT r, k, f, count(*) AS n FROM f GROUP BY r, k, f),
+ b AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(f) + 1), lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT))),
+   lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) % 10000 AS b
+  FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM fc)), crc),
+ g AS (SELECT b, sum(CASE WHEN k = 0 THEN n ELSE 0 END) AS s, sum(CASE WHEN k = 1 THEN n ELSE 0 END) AS t FROM fc JOIN b USING (f) GROUP BY b),
+ tot AS (SELECT sum(s) AS ss, sum(t) AS tt FROM g),
+ gain AS (SELECT b, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(ss AS DOUBLE) + 10000) / ((CAST(s AS DOUBLE) + 1) * (CAST(tt AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM g, tot),
+ wt AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM fc JOIN b USING (f) JOIN gain USING (b) WHERE k = 0 GROUP BY r),
+ sc AS (SELECT w.r, doc_id, len(ws) AS words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM w LEFT JOIN wt ON w.r = wt.r WHERE k = 0),
+ rk AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS p, count(*) FILTER (words >= 20) OVER () AS n FROM sc)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND p <= 5 * n // 100 THEN p END AS rank FROM rk""",
+)
+def op12(spark, sf):
+    return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
