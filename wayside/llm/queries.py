@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayside.llm import (
+    align,
     ann,
     chat,
     decontaminate,
@@ -241,3 +242,9 @@ SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND p <= 5 * n /
 )
 def op12(spark, sf):
     return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op13_tokenizer_alignment")
+def op13(spark, sf):
+    a, b = subwords.default_path("byte_bpe_50k.json"), subwords.default_path("piece_bpe_32k.model")
+    return align.align_documents(table(spark, sf, "documents"), a, b)
