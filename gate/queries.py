@@ -23,6 +23,7 @@ from wayside.operators import profiling as pf
 from wayside.operators import reconcile as rc
 from wayside.operators import rules as ru
 from wayside.operators import star as st
+from wayside.operators.exact import sum_by
 from wayside.plans import jobs
 from wayside.session import materialize, scratch_path
 from wayside.sources import tables as io
@@ -775,6 +776,28 @@ def a15(spark, sf):
     return rounded(df, 6, "Percentage", "Cumulative_Percentage")
 
 
+# whole cents in units of a power of two, whose sums a double holds without loss
+_FRACTIONS = "CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) * {unit} AS n"
+
+
+def _fractions(spark, sf, unit: float) -> DataFrame:
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long").cast("double")
+    return table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", (cents * unit).alias("v"))
+
+
+@register(
+    "a15_pareto_tiny_fractions",
+    f"""SELECT l_suppkey, n AS v, {o.r('share', 6)} AS "Percentage", {o.r('cum', 6)} AS "Cumulative_Percentage",
+ CASE WHEN cum <= 80 THEN 'Top_80%' ELSE 'Bottom_20%' END AS "Pareto_Group" FROM (
+ SELECT l_suppkey, n, n / sum(n) OVER () * 100 AS share,
+  sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) / sum(n) OVER () * 100 AS cum
+ FROM (SELECT l_suppkey, {_FRACTIONS.format(unit=2.0**-80)} FROM lineitem GROUP BY 1) a) p""",
+)
+def a15_tiny(spark, sf):
+    df = agg.pareto(_fractions(spark, sf, 2.0**-80), "l_suppkey", "v")
+    return rounded(df, 6, "Percentage", "Cumulative_Percentage")
+
+
 @register(
     "a16_flag_rate",
     f"""SELECT {o.r('avg("Low_Visibility") * 100', 6)} AS pct, 'Low_Visibility' AS flag FROM cleaned
@@ -826,6 +849,17 @@ def w2(spark, sf):
     )
 
 
+@register(
+    "w2_running_share_huge_fractions",
+    f"""SELECT l_orderkey, n, {o.r('n / sum(n) OVER () * 100', 6)} AS share,
+ {o.r('sum(n) OVER (ORDER BY n DESC, l_orderkey ROWS UNBOUNDED PRECEDING) / sum(n) OVER () * 100', 6)} AS running
+FROM (SELECT l_orderkey, {_FRACTIONS.format(unit=2.0**110)} FROM lineitem GROUP BY 1) a""",
+)
+def w2_huge(spark, sf):
+    sums = sum_by(_fractions(spark, sf, 2.0**110), ["l_orderkey"], "v", "n")
+    return rounded(agg.running_share(sums, "n", "l_orderkey", "share", "running"), 6, "share", "running")
+
+
 @register(
     "w3_share_of_total",
     """SELECT "State", "City", n, round_even(n::DOUBLE / sum(n) OVER (PARTITION BY "State") * 100, 6)

@@ -34,7 +34,8 @@ from wayside.functions.temporal import (
 )
 from wayside.functions.text import categorize_text
 from wayside.operators.cleaning import present
-from wayside.operators.scale import addable, by_sets, running_total
+from wayside.operators.exact import sum_by
+from wayside.operators.scale import by_sets, running_total
 from wayside.operators.star import Star, row_order, with_dominant_infra
 from wayside.session import materialize
 
@@ -382,10 +383,14 @@ def yoy_change(
 def running_share(
     df: DataFrame, value: str, key: str, share: str, out: str
 ) -> DataFrame:
-    """Share of the total and its running sum, largest value first, key as tie break."""
+    """Share of the total and its running sum, largest value first, key as tie break.
+
+    Fractions of any size are added up exactly, so the shares do not depend on how the
+    rows are dealt out.
+    """
     ordered = df.withColumn("__desc", -F.col(value))
     summed = running_total(ordered, ["__desc", key], value, "__cum")
-    total = summed.agg(F.sum(addable(summed, value))).scalar()
+    total = sum_by(summed, [], value, "total").scalar()
     return summed.withColumns(
         {
             share: ratio(F.col(value), total) * 100,
@@ -399,9 +404,7 @@ def pareto(
 ) -> DataFrame:
     """Groups by descending sum; the group that crosses the line is already 'Bottom'."""
     known = df.where(F.col(group).isNotNull())
-    total = F.sum(addable(df, value))
-    fraction = df.schema[value].dataType.typeName() in ("float", "double")
-    sums = known.groupBy(group).agg((total.cast("double") if fraction else total).alias(value))
+    sums = sum_by(known, [group], value, value)
     shares = running_share(sums, value, group, "Percentage", "Cumulative_Percentage")
     return shares.withColumn(
         "Pareto_Group",

@@ -16,16 +16,13 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from wayside.operators import exact
 from wayside.session import materialize
 
 #: Slots of a histogram that narrows a quantile.
 SLOTS = 4096
-#: Decimal places that fractions are added up with, so that the order does not matter.
-PLACES = 6
-
 
 def scalar_struct(one_row: DataFrame) -> Column:
     """All columns of a one-row frame as one struct Column (a scalar subquery)."""
@@ -64,38 +61,35 @@ def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
     return materialize(df.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()))
 
 
-def _offsets(ranged: DataFrame, weight: str, by: Sequence[str]) -> DataFrame:
-    """Per group and range: rows before it (``__start``) and its own total."""
-    totals = ranged.groupBy(*by, "__range").agg(F.sum(weight).alias("__in_range"))
+def _starts(ranged: DataFrame, weights: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Per group and range: the sum of each weight over the ranges before it."""
+    sums = [F.sum(w).alias(w) for w in weights]
+    totals = ranged.groupBy(*by, "__range").agg(*sums)
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__range")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
         *[F.col(b).alias(f"__by_{b}") for b in by],
         F.col("__range").alias("__at"),
-        (F.sum("__in_range").over(before) - F.col("__in_range")).alias("__start"),
-        "__in_range",
+        *[F.sum(w).over(before).alias(f"{w}_start") for w in weights],
     )
 
 
-def addable(df: DataFrame, c: str) -> Column:
-    """The column in a type whose sum does not depend on the order of the rows.
-
-    Whole numbers and decimals stay; fractions become decimals with ``PLACES`` places.
-    """
-    fraction = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
-    return F.col(f"`{c}`").cast(f"decimal(38,{PLACES})") if fraction else F.col(f"`{c}`")
-
-
 def running_total(
     df: DataFrame, key: Sequence[str], weight: str, out: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` in ascending ``key`` order.
 
-    ``key`` must be unique (within a group of ``by``). The sum of fractions is a double
-    that was added up as ``addable`` decimals.
+    ``key`` must be unique (within a group of ``by``). The sum of fractions is a double,
+    added up exactly (see ``exact``) and rounded once. Null until a weight is not null.
     """
     by = list(by)
-    ranged = in_ranges(df.withColumn("__weight", addable(df, weight)), *by, *key)
-    offsets = _offsets(ranged, "__weight", by)
+    ranged = in_ranges(df, *by, *key)
+    parts, limbs = [F.col(f"`{weight}`")], None
+    if exact.is_fraction(df, weight):
+        limbs = exact.limbs_for(ranged, weight)
+        parts = exact.split(F.col(f"`{weight}`"), limbs)
+    names = [f"__weight{i}" for i in range(len(parts))]
+    ranged = ranged.withColumns(dict(zip(names, parts, strict=True)))
     on = [F.col("__range") == F.col("__at")]
     on += [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
     inside = (
@@ -103,14 +97,14 @@ def running_total(
         .orderBy(*key)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    total = F.col("__start") + F.col("__inside")
-    fraction = isinstance(df.schema[weight].dataType, (T.FloatType, T.DoubleType))
-    return (
-        ranged.withColumn("__inside", F.sum("__weight").over(inside))
-        .join(offsets, on, "left")
-        .withColumn(out, total.cast("double") if fraction else total)
-        .drop("__range", "__at", "__start", "__in_range", "__inside", "__weight")
-        .drop(*[f"__by_{b}" for b in by])
+    summed = ranged.select(*df.columns, "__range", *[F.sum(n).over(inside).alias(n) for n in names])
+    summed = summed.join(_starts(ranged, names, by), on, "left")
+    totals = [
+        F.coalesce(F.col(f"{n}_start") + F.col(n), F.col(f"{n}_start"), F.col(n)) for n in names
+    ]
+    return summed.select(
+        *[F.col(f"`{c}`") for c in df.columns if c != out],
+        (exact.joined(totals, limbs) if limbs else totals[0]).alias(out),
     )
 
 
