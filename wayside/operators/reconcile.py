@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wayside.config import DEFAULT, INCREASE_TOLERANCE, RISK_LABELS, SHARE_TOLERANCE, Settings
 from wayside.functions.numeric import pct_change, percent, ratio
 from wayside.functions.text import categorize_text
+from wayside.operators.profiling import q
 from wayside.operators.rules import check_percentages, finding
 from wayside.operators.scale import by_sets
 
@@ -31,20 +32,32 @@ COUNTS = {"city": ("State", "City"), "weather": ("State", "Weather_Condition")}
 
 
 def recount(
-    base: DataFrame, settings: Settings = DEFAULT, wanted: Sequence[str] = tuple(COUNTS)
+    base: DataFrame,
+    settings: Settings = DEFAULT,
+    wanted: Sequence[str] = tuple(COUNTS),
+    more: Sequence[Column] = (),
 ) -> dict[str, DataFrame]:
-    """Counts per state and city and per state and weather, from the rows and nothing else."""
+    """Counts per state and city and per state and weather, from the rows and nothing else.
+
+    ``more`` are counts of all rows, taken in the same pass, as the one row ``all``.
+    """
     high = F.col("Severity") >= settings.high_severity
+    sets = {name: COUNTS[name] for name in wanted} | ({"all": ()} if more else {})
     found = by_sets(
         base,
-        {name: COUNTS[name] for name in wanted},
+        sets,
         [
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(high).alias("n_high"),
             F.count("Severity").alias("n_sev"),
             F.sum(F.col("Severity").cast("double")).alias("sum_sev"),
+            *more,
         ],
     )
+    if more:
+        # a table without rows has no group, not even that of all rows
+        names = base.agg(*more).columns
+        found["all"] = found["all"].agg(*[F.coalesce(F.sum(q(n)), F.lit(0)).alias(n) for n in names])
     if "weather" in found:
         # texts are few, so they are categorised after the rows are counted
         category = categorize_text("Weather_Condition", settings.weather_rules_agg)

@@ -8,12 +8,12 @@ expected, actual, message. Only ``assert_*`` and ``raise_on_fail`` bring the
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,31 +95,39 @@ def _pct(value: Column) -> Column:
     )
 
 
+def rule_measures(df: DataFrame, rules: Mapping[str, Mapping[str, Any]]) -> list[Column]:
+    """The null counts and extremes that the rules need, as aggregates of plain columns."""
+    parts = [F.count(F.lit(1)).alias("rows")]
+    for c in rules:
+        if c not in df.columns:
+            continue
+        if "null_pct_max" in rules[c]:
+            parts.append(F.count_if(q(c).isNull()).alias(f"nulls|{c}"))
+        if "min" in rules[c]:
+            parts.append(F.min(q(c)).alias(f"min|{c}"))
+        if "max" in rules[c]:
+            parts.append(F.max(q(c)).alias(f"max|{c}"))
+    return parts
+
+
 def check_rules(
     df: DataFrame,
     stage: str,
     rules: Mapping[str, Mapping[str, Any]],
     raise_on_fail: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """One finding per column and check.
 
     Checks: exists, null_pct_max, min, max, unique, values. All null shares and
     extremes come from one aggregate; uniqueness and allowed values from one
-    count of distinct values over all columns that need it.
+    count of distinct values over all columns that need it. ``measured`` is the row of
+    ``rule_measures`` if it was taken elsewhere, such as while ``df`` was written.
     """
     here = [c for c in rules if c in df.columns]
     keyed = [c for c in here if rules[c].get("unique")]
     listed = [c for c in here if "values" in rules[c]]
-
-    parts = [F.count(F.lit(1)).alias("rows")]
-    for c in here:
-        if "null_pct_max" in rules[c]:
-            parts.append(F.count_if(q(c).isNull()).alias(f"nulls|{c}"))
-        if "min" in rules[c]:
-            parts.append(F.min(q(c)).alias(f"min|{c}"))
-        if "max" in rules[c]:
-            parts.append(F.max(q(c)).alias(f"max|{c}"))
-    stats = df.agg(*parts)
+    stats = df.agg(*rule_measures(df, rules)) if measured is None else measured
 
     if keyed or listed:
         counts = value_counts_long(df, list(dict.fromkeys(keyed + listed)), "string")
@@ -360,31 +368,78 @@ def check_star(star: Star, settings: Settings = DEFAULT) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def check_quality(base: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Severity in its domain, no negative duration, key columns filled: one aggregate."""
-    stage = "data_quality"
-    keys = [c for c in ("ID", "Severity", "State", "City") if c in base.columns]
-    parts = [
-        F.count_if(
-            ~F.coalesce(F.col("Severity").isin(*settings.severities), F.lit(False))
-        ).alias("bad_severity"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls|{c}") for c in keys],
-    ]
-    if "Duration_min" in base.columns:
-        parts.append(F.count_if(F.col("Duration_min") < 0).alias("negative"))
+def _quality_checks(base: DataFrame) -> list[tuple[str, str, str]]:
+    """(column, check, measure) of what ``check_quality`` looks at."""
     checks = [("Severity", "domain", "bad_severity")]
     if "Duration_min" in base.columns:
         checks.append(("Duration_min", "not_negative", "negative"))
-    checks += [(c, "not_null", f"nulls|{c}") for c in keys]
-    return base.agg(*parts).select(
-        F.inline(
-            F.array(
-                *[
-                    finding(
-                        stage, c, check, q(n) == 0, "0", q(n).cast("string"), "rows:"
-                    )
-                    for c, check, n in checks
-                ]
-            )
-        )
-    )
+    return checks + [
+        (c, "not_null", f"nulls|{c}") for c in ("ID", "Severity", "State", "City") if c in base.columns
+    ]
+
+
+def quality_measures(base: DataFrame, settings: Settings = DEFAULT) -> list[Column]:
+    """Rows that fail each check of ``check_quality``, as aggregates of plain columns."""
+    bad = {
+        "bad_severity": ~F.coalesce(F.col("Severity").isin(*settings.severities), F.lit(False)),
+        "negative": F.col("Duration_min") < 0,
+    }
+    return [
+        F.count_if(bad[n] if n in bad else F.col(c).isNull()).alias(n)
+        for c, _, n in _quality_checks(base)
+    ]
+
+
+def check_quality(
+    base: DataFrame, settings: Settings = DEFAULT, measured: DataFrame | None = None
+) -> DataFrame:
+    """Severity in its domain, no negative duration, key columns filled: one aggregate.
+
+    ``measured`` is the row of ``quality_measures`` if it was taken elsewhere.
+    """
+    stats = base.agg(*quality_measures(base, settings)) if measured is None else measured
+    found = [
+        finding("data_quality", c, check, q(n) == 0, "0", q(n).cast("string"), "rows:")
+        for c, check, n in _quality_checks(base)
+    ]
+    return stats.select(F.inline(F.array(*found)))
+
+
+# ---------------------------------------------------------------- while rows pass
+
+
+def watch(df: DataFrame, measures: Sequence[Column]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` with aggregates taken as its rows pass, and their one row.
+
+    The rows must first be written or counted, once and all of them; then the row is at
+    hand without another pass. Measures of the same name are taken once.
+    """
+    schema = df.agg(*measures).schema
+    named = dict(zip(schema.names, measures, strict=True))
+    fields = [schema.fields[schema.names.index(n)] for n in named]
+    seen = Observation()
+
+    def row() -> DataFrame:
+        return df.sparkSession.createDataFrame([tuple(seen.get[n] for n in named)], T.StructType(fields))
+
+    return df.observe(seen, *named.values()), row
+
+
+def guard_range(
+    df: DataFrame, c: str, lo: float | None = None, hi: float | None = None, stage: str = ""
+) -> DataFrame:
+    """The rows as they are; the job that reads them fails on a value outside ``lo..hi``.
+
+    The check is part of the plan, so nothing is read for it, and a plan that does not use
+    the column does not check it. An absent column is skipped.
+    """
+    if c not in df.columns:
+        return df
+    bounds = [F.lit(False)]
+    if lo is not None:
+        bounds.append(q(c) < lo)
+    if hi is not None:
+        bounds.append(q(c) > hi)
+    outside = F.coalesce(reduce(Column.__or__, bounds), F.lit(False))
+    text = F.concat(F.lit(f"[{stage}] {c} outside {lo}..{hi}: "), q(c).cast("string"))
+    return df.withColumn(c, F.when(outside, F.raise_error(text).cast(df.schema[c].dataType)).otherwise(q(c)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import partial, reduce
 
@@ -45,7 +46,10 @@ from wayside.operators.rules import (
     check_quality,
     check_rules,
     check_star,
+    quality_measures,
     raise_failures,
+    rule_measures,
+    watch,
 )
 from wayside.operators.star import (
     DIMENSIONS,
@@ -54,15 +58,15 @@ from wayside.operators.star import (
     build_fact,
 )
 from wayside.session import materialize, scratch_removed
+from wayside.sources.publish import Publication
 from wayside.sources.tables import (
     BAD_RECORD,
     bad_records,
     read_incidents,
     read_star,
     read_table,
+    star_of,
     star_paths,
-    write_small,
-    write_table,
 )
 
 
@@ -197,13 +201,15 @@ def validate_outputs(
     settings: Settings = DEFAULT,
     pairs: Sequence[tuple[str, str]] | None = None,
     states: Sequence[str] | None = None,
+    quality: DataFrame | None = None,
 ) -> DataFrame:
     """All findings on the aggregates and the cleaned rows.
 
-    The rows are recounted once for the three reconciliations. All groups are
-    compared, or the sample ``pairs`` of state and city and the sample ``states``.
+    The rows are read once, for the three reconciliations and the quality checks; the
+    measures of the latter may be given as ``quality``. All groups are compared, or the
+    sample ``pairs`` of state and city and the sample ``states``.
     """
-    counts = recount(base, settings)
+    counts = recount(base, settings, more=() if quality else quality_measures(base, settings))
     parts = [
         reconcile_city(
             aggs["agg_city_by_state"], counts["city"], pairs, states, settings=settings
@@ -219,7 +225,7 @@ def validate_outputs(
             },
             counts["city"],
         ),
-        check_quality(base, settings),
+        check_quality(base, settings, quality or counts["all"]),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -227,7 +233,7 @@ def validate_outputs(
 def at_once(tasks: Sequence[Callable[[], None]], threads: int = 4) -> None:
     """Run independent small Spark jobs side by side; the first error is raised."""
     with ThreadPoolExecutor(threads) as pool:
-        for done in [pool.submit(task) for task in tasks]:
+        for done in [pool.submit(copy_context().run, task) for task in tasks]:
             done.result()
 
 
@@ -253,59 +259,62 @@ def run_etl(
 
     The source is parsed once. Each stage reads the written tables of the one before, so
     a lost executor costs a retry within a stage, and table sizes are known when Spark
-    plans joins. Tables are checked before they replace those of an earlier run; the
-    number of unreadable records is in ``profile/bad_records``. Scratch tables go at the
-    end, also after an error.
+    plans joins. Every table is written once, to a staging folder below ``out``; when all
+    are there and checked, they replace those of an earlier run together (see
+    ``publish``), and a run that fails leaves those. Null counts, ranges and domains are
+    checked on the rows as they are written. The number of unreadable records is in
+    ``profile/bad_records``. Scratch tables go at the end, also after an error.
     """
-    with scratch_removed(spark):
-        return _run_etl(spark, source, out.rstrip("/"), settings, fmt, with_profile, multi_line)
+    out = out.rstrip("/")
+    with scratch_removed(spark), Publication(spark, out) as new:
+        _run_etl(new, source, settings, fmt, with_profile, multi_line)
+    names = [path.removeprefix(f"{out}/aggregates/") for path in new.staged if "/aggregates/" in path]
+    return EtlResult(
+        read_table(spark, f"{out}/cleaned"),
+        read_star(spark, out),
+        {name: read_table(spark, f"{out}/aggregates/{name}") for name in names},
+        read_table(spark, f"{out}/quality/findings"),
+        read_table(spark, f"{out}/quality/report"),
+    )
 
 
 def _run_etl(
-    spark: SparkSession,
-    source: str,
-    out: str,
-    settings: Settings,
-    fmt: str,
-    with_profile: bool,
-    multi_line: bool,
-) -> EtlResult:
+    new: Publication, source: str, settings: Settings, fmt: str, with_profile: bool, multi_line: bool
+) -> None:
+    spark, out = new.spark, new.root
     parsed = materialize(read_incidents(spark, source, fmt, multi_line, keep_bad=True))
     raw = filter_years(parsed.drop(BAD_RECORD), settings.start_year, settings.end_year)
     about = {"bad_records": bad_records(parsed), "summary": agg.summary(raw)}
     if with_profile:
         about |= profile(raw)
-    at_once(
-        [partial(write_table, table, f"{out}/profile/{name}") for name, table in about.items()]
-    )
+    at_once([partial(new.write, table, f"{out}/profile/{name}") for name, table in about.items()])
 
-    checked = materialize(clean(raw, settings))
-    raise_failures(check_rules(checked, "cleaner", cleaner_gate_rules(settings)))
-    write_table(checked, f"{out}/cleaned")
-    cleaned = read_table(spark, f"{out}/cleaned")
+    checked, rules = clean(raw, settings), cleaner_gate_rules(settings)
+    measures = [*rule_measures(checked, rules), *quality_measures(checked, settings)]
+    watched, measured = watch(checked, measures)
+    cleaned = new.write(watched, f"{out}/cleaned")
+    raise_failures(check_rules(checked, "cleaner", rules, measured=measured()))
 
     paths = star_paths(out)
-    dims = {name: materialize(dim) for name, dim in build_dimensions(cleaned, settings).items()}
-    fact = materialize(build_fact(cleaned, dims["dim_weather"], settings))
-    verify_star(Star(accident_detail=fact, **dims), settings)
-    at_once(
-        [partial(write_small, name, dim, paths[name]) for name, dim in dims.items()]
-        + [partial(write_table, fact, paths["accident_detail"])]
-    )
-    star = read_star(spark, out)
 
-    built = {name: materialize(table) for name, table in build_aggregates(star, settings).items()}
-    verify_aggregates(built)
-    at_once(
-        [
-            partial(write_small, name, table, f"{out}/aggregates/{name}")
-            for name, table in built.items()
-        ]
-    )
-    aggs = {name: read_table(spark, f"{out}/aggregates/{name}") for name in built}
+    def write(tables: Mapping[str, DataFrame], path_of: Callable[[str], str]) -> dict[str, DataFrame]:
+        staged: dict[str, DataFrame] = {}
+
+        def one(name: str) -> None:
+            staged[name] = new.write(agg.sort_output(name, tables[name]), path_of(name))
+
+        at_once([partial(one, name) for name in tables])
+        return staged
+
+    dims = write(build_dimensions(cleaned, settings), paths.get)
+    fact = new.write(build_fact(cleaned, dims["dim_weather"], settings), paths["accident_detail"])
+    star = star_of({"accident_detail": fact, **dims})
+    on_star = materialize(check_star(star, settings))
+    raise_failures(check_keys(star).unionByName(on_star))
+
+    aggs = write(build_aggregates(star, settings), lambda name: f"{out}/aggregates/{name}")
+    verify_aggregates(aggs)
 
-    found = check_star(star, settings).unionByName(validate_outputs(cleaned, aggs, settings))
-    write_table(found, f"{out}/quality/findings")
-    findings = read_table(spark, f"{out}/quality/findings")
-    write_table(quality_report(findings), f"{out}/quality/report")
-    return EtlResult(cleaned, star, aggs, findings, read_table(spark, f"{out}/quality/report"))
+    on_outputs = validate_outputs(cleaned, aggs, settings, quality=measured())
+    findings = new.write(on_star.unionByName(on_outputs), f"{out}/quality/findings")
+    new.write(quality_report(findings), f"{out}/quality/report")

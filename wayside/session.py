@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,13 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-_open: list[list[str]] = []
+#: Lists of the scratch tables of the jobs that the current thread or task is inside of.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open scratch lists", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    for paths in _open:
+    for paths in _open.get():
         paths.append(path)
     return path
 
@@ -64,14 +66,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
     """Removes the scratch tables made inside, also after an error.
 
-    What is wanted later must be written elsewhere before the end.
+    What is wanted later must be written elsewhere before the end. Jobs in other threads
+    keep theirs; a thread started inside takes part if it runs in a copy of the context.
     """
     paths: list[str] = []
-    _open.append(paths)
+    before = _open.set((*_open.get(), paths))
     try:
         yield
     finally:
-        _open[:] = [p for p in _open if p is not paths]
+        _open.reset(before)
         for name in paths:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

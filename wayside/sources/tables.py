@@ -17,6 +17,7 @@ from wayside.functions.text import categorize_text
 from wayside.operators.aggregates import sort_output
 from wayside.operators.cleaning import with_timestamps
 from wayside.operators.star import Star
+from wayside.sources.publish import Publication, parent
 
 # Declared types of the raw columns. Other columns stay text.
 RAW_TYPES: dict[str, T.DataType] = {
@@ -179,17 +180,13 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Overwrite one output table."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    """Write one output table; an older one stays until the new one is complete."""
+    with Publication(df.sparkSession, parent(path)) as new:
+        new.write(df, path, fmt, CSV_OPTIONS if fmt == "csv" else None, partition_by)
 
 
 def write_small(name: str, df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite a dimension or aggregate in its output order."""
+    """Write a dimension or aggregate in its output order."""
     write_table(sort_output(name, df), path, fmt)
 
 
@@ -204,19 +201,22 @@ def star_paths(root: str) -> dict[str, str]:
 
 
 def write_star(star: Star, root: str, fmt: str = "parquet", partition_fact: bool = False) -> None:
-    """The four tables; the fact optionally in one folder per year."""
-    paths = star_paths(root)
-    for name, df in star.tables().items():
-        if name != "accident_detail":
-            write_small(name, df, paths[name], fmt)
-    fact = star.accident_detail
-    if partition_fact:
-        fact = fact.withColumn("part_year", F.year("full_date"))
-    write_table(fact, paths["accident_detail"], fmt, ["part_year"] if partition_fact else [])
+    """The four tables, which replace older ones together; the fact optionally in one folder per year."""
+    paths, options = star_paths(root), CSV_OPTIONS if fmt == "csv" else None
+    with Publication(star.accident_detail.sparkSession, root) as new:
+        for name, df in star.tables().items():
+            by = ["part_year"] if partition_fact and name == "accident_detail" else []
+            rows = df.withColumn("part_year", F.year("full_date")) if by else sort_output(name, df)
+            new.write(rows, paths[name], fmt, options, by)
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    tables = {name: read_table(spark, path) for name, path in star_paths(root).items()}
+    return star_of({name: read_table(spark, path) for name, path in star_paths(root).items()})
+
+
+def star_of(tables: dict[str, DataFrame]) -> Star:
+    """A star of stored tables by name."""
+    tables = dict(tables)
     tables["accident_detail"] = tables["accident_detail"].drop("part_year").withColumn(
         "full_date", F.to_date("full_date")
     )
