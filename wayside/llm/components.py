@@ -14,15 +14,17 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).first())
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", hubs: bool = False) -> DataFrame:
     """(node, component): for every linked node the smallest node it reaches.
 
     Each round hangs every node on the smallest neighbour it has (large star, then
     small star), which keeps the components and shortens all paths; the rounds end
     when no link changes, after about the logarithm of the longest path. Links are
-    added up before each shuffle, and the smallest neighbours are written before links are
-    joined with them: AQE can then split the links of a node that holds many of them.
+    added up before each shuffle. With ``hubs`` the smallest neighbours are written before
+    links are joined with them, so that AQE can split the links of a node that holds many;
+    that takes two more small tables a round.
     """
+    kept = materialize if hubs else (lambda df: df)
     edges = materialize(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where(F.col("u") != F.col("v"))
@@ -31,11 +33,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _mark(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where(F.col("u") != F.col("v")))
         # small star: every node and its smaller neighbours hang on the smallest of them
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         hung = large.join(least, "u")
         small = hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = materialize(least.select("u", F.col("m").alias("v")).union(small).distinct())

@@ -135,7 +135,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for side in ("x", "y"):
         rep = nodes.select(F.col("fp").alias(side), F.col("rep").alias(f"{side}_rep"))
         found = found.join(rep, side)
-    comps = components(materialize(found.select("x_rep", "y_rep")), "x_rep", "y_rep")
+    comps = components(materialize(found.select("x_rep", "y_rep")), "x_rep", "y_rep", hubs=True)
     named = materialize(
         nodes.join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id")
