@@ -18,6 +18,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,10 @@ from wayside.llm.subwords import WordTable
 from wayside.session import materialize
 
 #: Text of a chunk of documents, whose pairs are looked up in one group; one longer text is one.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Units and tokens that a worker remembers before it starts anew.
-MAX_UNITS = 400_000
-MAX_TOKENS = 8_000_000
+MAX_UNITS = 250_000
+MAX_TOKENS = 4_000_000
 
 #: Bytes that a character which is not white space may begin with, and end with if ASCII.
 _VISIBLE = np.zeros(256, bool)
@@ -75,6 +76,33 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def _ragged(values: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all places in order, and how many each has."""
+    length = at[places + 1] - at[places]
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(at[places] - (ends - length), length) + np.arange(total)], length
+
+
+class Joined:
+    """Bytes of ids, to be put together for many ids at once."""
+
+    def __init__(self, parts: list[bytes]):
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.length = np.array([len(p) for p in parts], np.int64)
+        self.at = np.append(0, np.cumsum(self.length))
+
+    def valid(self, ids: np.ndarray, n: np.ndarray, want: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether ids, ``n`` for each unit, make up the unit's bytes; the units follow each other."""
+        unit = np.repeat(np.arange(len(n)), n)
+        fits = np.bincount(unit, self.length[ids], len(n)).astype(np.int64) == size
+        kept = fits[unit]
+        found, _ = _ragged(self.data, self.at, ids[kept])
+        differs = found != want[np.repeat(fits, size)]
+        fits[np.repeat(np.arange(len(n)), size * fits)[differs]] = False
+        return fits
+
+
 class Tokenizers:
     """Both tokenizers, the bytes of their ids, and the identity map."""
 
@@ -98,6 +126,7 @@ class Tokenizers:
         ]
         place = {self.bytes_b[i]: i for i in ids if self.b.is_byte(i)}
         place |= {self.bytes_b[i]: i for i in ids if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))}
+        self.joined_a, self.joined_b = Joined(self.bytes_a), Joined(self.bytes_b)
         #: For each id of A the id of B with the same bytes, or -1.
         self.same = np.array([place.get(x, -1) for x in self.bytes_a], np.int64)
 
@@ -112,9 +141,9 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-def _flat(lists: list, dtype=np.int64) -> tuple[np.ndarray, np.ndarray]:
-    length = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter((i for x in lists for i in x), dtype, int(length.sum())), length
+def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    length = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), length
 
 
 class Aligned:
@@ -145,8 +174,8 @@ class Aligned:
                 self.forget()
                 return self.places(units)
             at = missed[first]
-            for k in range(0, len(at), 20_000):
-                spans = zip(units.starts[at[k : k + 20_000]].tolist(), units.ends[at[k : k + 20_000]].tolist(), strict=True)
+            for k in range(0, len(at), 10_000):
+                spans = zip(units.starts[at[k : k + 10_000]].tolist(), units.ends[at[k : k + 10_000]].tolist(), strict=True)
                 self._learn([units.data[i:j].tobytes() for i, j in spans])
             self.table.add(keys)
             place[missed] = self.table.find(hashes[missed])
@@ -154,18 +183,15 @@ class Aligned:
 
     def _learn(self, units: list[bytes]) -> None:
         both = self.both
-        ids_a, ids_b = both.encode([u.decode() for u in units])
-        valid = [
-            b"".join(map(both.bytes_a.__getitem__, a)) == u == b"".join(map(both.bytes_b.__getitem__, b))
-            for u, a, b in zip(units, ids_a, ids_b, strict=True)
-        ]
-        ids_a = [x if ok else [] for x, ok in zip(ids_a, valid, strict=True)]
-        ids_b = [x if ok else [] for x, ok in zip(ids_b, valid, strict=True)]
-        (a, n_a), (b, n_b) = _flat(ids_a), _flat(ids_b)
+        (a, n_a), (b, n_b) = map(_flat, both.encode([u.decode() for u in units]))
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        data = np.frombuffer(b"".join(units), np.uint8)
+        valid = both.joined_a.valid(a, n_a, data, size) & both.joined_b.valid(b, n_b, data, size)
+        a, b = a[np.repeat(valid, n_a)], b[np.repeat(valid, n_b)]
+        n_a, n_b = n_a * valid, n_b * valid
         # bytes at which tokens end, all units in one row
-        end_a = np.cumsum([len(both.bytes_a[i]) for i in a.tolist()], dtype=np.int64)
-        end_b = np.cumsum([len(both.bytes_b[i]) for i in b.tolist()], dtype=np.int64)
-        unit_end = np.cumsum([len(u) if ok else 0 for u, ok in zip(units, valid, strict=True)], dtype=np.int64)
+        end_a, end_b = np.cumsum(both.joined_a.length[a]), np.cumsum(both.joined_b.length[b])
+        unit_end = np.cumsum(size * valid)
         both_end = np.intersect1d(end_a, end_b, assume_unique=True)
         any_end = np.union1d(end_a, end_b)
         n_groups = np.diff(np.searchsorted(both_end, unit_end, "right"), prepend=0)
@@ -177,7 +203,7 @@ class Aligned:
         pairs = linked_a[~same] * len(both.bytes_b) + linked_b[~same]
         self._append("pairs", pairs, np.diff(np.cumsum(np.append(0, ~same))[link_at], prepend=0))
         n_links = np.diff(link_at, prepend=0)
-        self.facts = np.concatenate([self.facts, [np.array(valid, np.int64), n_a, n_b, n_groups, n_links]], axis=1)
+        self.facts = np.concatenate([self.facts, [valid, n_a, n_b, n_groups, n_links]], axis=1)
         self.text += self._texts(a, b, end_a, end_b, both_end, n_a + n_b)
 
     def _append(self, name: str, values: np.ndarray, length: np.ndarray) -> None:
@@ -202,14 +228,6 @@ def aligned(path_a: str, path_b: str) -> Aligned:
     return Aligned(tokenizers(path_a, path_b))
 
 
-def _ragged(values: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all places in order, and how many each has."""
-    length = at[places + 1] - at[places]
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.repeat(at[places] - (ends - length), length) + np.arange(total)], length
-
-
 def _added_up(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and the sum of each one's numbers."""
     if not len(keys):
@@ -339,6 +357,9 @@ def align_documents(
     best = np.maximum(best, vector)
 
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        # units that this worker remembers are not needed any more
+        aligned.cache_clear()
+        tokenizers.cache_clear()
         pair, first = np.unique(right.column("pair").to_numpy(), return_index=True)
         total = right.column("total").to_numpy()[first]
         n_best, count_sum = np.zeros(left.num_rows, np.int64), np.zeros(left.num_rows, np.int64)
