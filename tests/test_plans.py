@@ -12,6 +12,7 @@ from gate.queries import QUERIES
 from tests.conftest import SF_SMALL
 from wayside.operators import aggregates as agg
 from wayside.operators import cleaning as cl
+from wayside.operators import scale as sc
 from wayside.operators import star as st
 from wayside.plans import jobs
 from wayside.session import scratch_path
@@ -114,3 +115,25 @@ def test_rows_are_never_ordered_in_one_task(spark):
 def test_hot_key_is_counted_before_it_is_shuffled(stored):
     text = plan(st.orphan_count(stored, stored.where(F.col("Severity") == 1), "City", "City"))
     assert "partial_count" in text
+
+
+@pytest.mark.parametrize("name", ["p4_impute_median", "p13_cap_iqr", "p14_drop_iqr_outliers", "q6_box_summary", "a13_urban_rural"])
+def test_quantiles_are_planned_once(spark, name):
+    """However often a quantile is used, its plan is there once, and rows are sketched once."""
+    text = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    used = re.findall(r"scalar-subquery#(\d+)", text)
+    assert len(set(used)) == 1
+
+
+def test_only_values_near_a_quantile_are_shuffled(spark, stored):
+    df = sc.exact_quantiles(stored, ["Temperature(F)"], [0.5])
+    assert "kll_sketch" in plan(df).lower()
+
+
+def test_a_bracket_that_misses_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(sc, "FEW", 10)
+    monkeypatch.setattr(sc, "SKETCH", 8)
+    monkeypatch.setattr(sc, "MARGIN", 1e-9)
+    df = spark.range(50_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        sc.exact_quantiles(df, ["x"], [0.1, 0.3, 0.5, 0.7, 0.9]).collect()

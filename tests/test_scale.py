@@ -180,3 +180,17 @@ def test_hot_location_survives(spark):
     assert st.star_join(star, SETTINGS).count() == n
     rolled = agg.star_rollup(star, ("State", "City"), SETTINGS)
     assert rolled.agg(F.sum("n_rows")).first()[0] == n
+
+
+def test_quantiles_from_brackets(spark, monkeypatch):
+    """Columns long enough for a sketch, with a value that a third of the rows have."""
+    monkeypatch.setattr(sc, "FEW", 100)
+    rng = np.random.default_rng(9)
+    x = np.where(rng.random(30_000) < 0.34, 7.5, rng.lognormal(0, 40, 30_000))
+    y = rng.integers(0, 5, 30_000).astype(float)
+    df = spark.createDataFrame([(float(a), float(b) if b else None) for a, b in zip(x, y)], "x double, y double")
+    probs = [0.0, 0.003, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = sc.exact_quantiles(df.repartition(8), ["x", "y"], probs).first()
+    for c, vals in (("x", x), ("y", y[y > 0])):
+        for p in probs:
+            assert got[sc.quantile_name(c, p)] == pytest.approx(np.quantile(vals, p), rel=1e-12)

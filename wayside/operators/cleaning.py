@@ -23,7 +23,7 @@ from wayside.functions.temporal import (
     parse_timestamp,
     repaired_text,
 )
-from wayside.operators.scale import exact_quantiles, quantile_name, scalar_struct
+from wayside.operators.scale import SCALARS, exact_quantiles, quantile_name, scalar, with_scalars
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -88,8 +88,8 @@ def impute_median(
     cols = present(df, cols)
     if not cols:
         return df
-    mid = scalar_struct(medians(df, cols, accuracy))
-    return df.withColumns({c: F.coalesce(F.col(c), mid.getField(c)) for c in cols})
+    filled = with_scalars(df, medians(df, cols, accuracy))
+    return filled.withColumns({c: F.coalesce(F.col(c), scalar(c)) for c in cols}).drop(SCALARS)
 
 
 def impute_constant(df: DataFrame, fills: Mapping[str, Any]) -> DataFrame:
@@ -181,18 +181,20 @@ def iqr_bounds(df: DataFrame, c: str, m: float = 1.5, accuracy: int | None = Non
 
 
 def _capped(df: DataFrame, c: str, bounds: DataFrame) -> DataFrame:
-    b = scalar_struct(bounds)
-    return df.withColumn(c, clip_to(F.col(c).cast("double"), b["lo"], b["hi"]))
+    kept = clip_to(F.col(c).cast("double"), scalar("lo"), scalar("hi"))
+    return with_scalars(df, bounds).withColumn(c, kept).drop(SCALARS)
 
 
-def _inside(c: str, bounds: DataFrame) -> Column:
-    b = scalar_struct(bounds)
-    return (F.col(c) >= b["lo"]) & (F.col(c) <= b["hi"])
+def _inside(c: str) -> Column:
+    return (F.col(c) >= scalar("lo")) & (F.col(c) <= scalar("hi"))
 
 
-def _outside(c: str, bounds: DataFrame) -> Column:
-    b = scalar_struct(bounds)
-    return (F.col(c) < b["lo"]) | (F.col(c) > b["hi"])
+def _outside(c: str) -> Column:
+    return (F.col(c) < scalar("lo")) | (F.col(c) > scalar("hi"))
+
+
+def _kept(df: DataFrame, condition: Column, bounds: DataFrame) -> DataFrame:
+    return with_scalars(df, bounds).where(condition).drop(SCALARS)
 
 
 def cap_sigma(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
@@ -201,11 +203,11 @@ def cap_sigma(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
 
 def drop_sigma_outliers(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
     """Rows inside the bounds; a null value is outside."""
-    return df.where(_inside(c, sigma_bounds(df, c, k)))
+    return _kept(df, _inside(c), sigma_bounds(df, c, k))
 
 
 def sigma_outliers(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
-    return df.where(_outside(c, sigma_bounds(df, c, k)))
+    return _kept(df, _outside(c), sigma_bounds(df, c, k))
 
 
 def cap_iqr(df: DataFrame, c: str, m: float = 1.5, accuracy: int | None = None) -> DataFrame:
@@ -215,24 +217,24 @@ def cap_iqr(df: DataFrame, c: str, m: float = 1.5, accuracy: int | None = None)
 def drop_iqr_outliers(
     df: DataFrame, c: str, m: float = 1.5, accuracy: int | None = None
 ) -> DataFrame:
-    return df.where(_inside(c, iqr_bounds(df, c, m, accuracy)))
+    return _kept(df, _inside(c), iqr_bounds(df, c, m, accuracy))
 
 
 def iqr_outliers(df: DataFrame, c: str, m: float = 1.5, accuracy: int | None = None) -> DataFrame:
-    return df.where(_outside(c, iqr_bounds(df, c, m, accuracy)))
+    return _kept(df, _outside(c), iqr_bounds(df, c, m, accuracy))
 
 
 def outlier_summary(df: DataFrame, c: str, bounds: DataFrame) -> DataFrame:
     """One row: bounds, rows, outliers, outliers in percent of rows, rows kept."""
-    b = scalar_struct(bounds)
-    counted = df.agg(
+    counted = with_scalars(df, bounds).agg(
+        F.first(SCALARS).alias(SCALARS),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(_outside(c, bounds)).alias("n_outliers"),
-        F.count_if(_inside(c, bounds)).alias("n_kept"),
+        F.count_if(_outside(c)).alias("n_outliers"),
+        F.count_if(_inside(c)).alias("n_kept"),
     )
     return counted.select(
-        b["lo"].alias("lo"),
-        b["hi"].alias("hi"),
+        scalar("lo").alias("lo"),
+        scalar("hi").alias("hi"),
         "n_rows",
         "n_outliers",
         percent("n_outliers", "n_rows").alias("outlier_pct"),

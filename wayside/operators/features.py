@@ -28,7 +28,7 @@ from wayside.functions.temporal import (
 )
 from wayside.functions.text import category_of, flag_of, location_key, lowered
 from wayside.operators.cleaning import present
-from wayside.operators.scale import exact_quantiles, quantile_name, scalar_struct
+from wayside.operators.scale import SCALARS, exact_quantiles, quantile_name, scalar, with_scalars
 
 
 def add_time_features(
@@ -92,9 +92,9 @@ def urban_rural(
     """'Urban' from the median score upwards, else 'Rural'."""
     if score not in df.columns:
         df = add_infra_score(df, out=score)
-    mid = scalar_struct(exact_quantiles(df, [score], [0.5], accuracy))
-    urban = F.col(score) >= mid.getField(quantile_name(score, 0.5))
-    return df.withColumn(out, F.when(urban, "Urban").otherwise("Rural"))
+    urban = F.col(score) >= scalar(quantile_name(score, 0.5))
+    marked = with_scalars(df, exact_quantiles(df, [score], [0.5], accuracy))
+    return marked.withColumn(out, F.when(urban, "Urban").otherwise("Rural")).drop(SCALARS)
 
 
 def date_dimension(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 from wayside.config import SANITY_COLS
 from wayside.functions.numeric import percent
 from wayside.operators.scale import (
+    SCALARS,
     exact_quantiles,
     quantile_name,
-    scalar_struct,
+    scalar,
     value_counts_long,
+    with_scalars,
 )
 from wayside.operators.star import row_order
 
@@ -164,10 +166,10 @@ def box_summary(
     """Quartiles, whisker ends and outlier count: the numbers of a box plot."""
     probs = (0.25, 0.5, 0.75)
     cols = [c for c in cols if c in df.columns]
-    quarts = scalar_struct(exact_quantiles(df, cols, probs, accuracy))
+    quarts = exact_quantiles(df, cols, probs, accuracy)
 
     def at(c: str, p: float) -> Column:
-        return quarts.getField(quantile_name(c, p))
+        return scalar(quantile_name(c, p))
 
     parts = []
     for c in cols:
@@ -178,7 +180,7 @@ def box_summary(
             F.max(F.when(q(c) <= hi, q(c))).cast("double").alias(f"high|{c}"),
             F.count_if((q(c) < lo) | (q(c) > hi)).alias(f"out|{c}"),
         ]
-    one = df.agg(*parts)
+    one = with_scalars(df, quarts).agg(F.first(SCALARS).alias(SCALARS), *parts)
     one = one.withColumns({f"q{int(p * 100)}|{c}": at(c, p) for c in cols for p in probs})
     return unpivot_stats(
         one,

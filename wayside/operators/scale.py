@@ -5,14 +5,14 @@ partition key sends all rows to one task, and ``percentile`` keeps all distinct
 values of a column in one buffer. Both are done the same way at every size: a running
 total range-partitions the rows, writes them with their range number (so the ranges
 cannot move), sums every range on its own, and takes each range's offset from the range
-totals. A quantile counts the values, narrows each wanted rank to a slice by two
-histograms of bounded size, and orders only that slice; nothing runs before the result
-is used.
+totals. A quantile is bracketed by a mergeable sketch; one more pass counts the values in
+the bracket, a histogram of bounded size narrows the wanted rank to a slot of it, and only
+that slot is ordered; nothing runs before the result is used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +21,38 @@ from pyspark.sql.window import Window
 from wayside.operators import exact
 from wayside.session import materialize
 
-#: Slots of a histogram that narrows a quantile.
+#: Size of the sketch that brackets a quantile, and the share of the rows on either side of it
+#: that the bracket holds: four times the error that the sketch keeps to 99 times in 100.
+SKETCH = 2000
+MARGIN = 0.01
+#: Up to so many values a column is bracketed by its ends.
+FEW = 10_000
+#: Parts of a bracket, and slots of equal width in each.
+CUTS = 32
 SLOTS = 4096
 
 def scalar_struct(one_row: DataFrame) -> Column:
-    """All columns of a one-row frame as one struct Column (a scalar subquery)."""
+    """All columns of a one-row frame as one struct Column (a scalar subquery).
+
+    Each use of the Column copies the plan of the frame; see ``with_scalars``.
+    """
     return one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns])).scalar()
 
 
+#: Column in which ``with_scalars`` puts the one row.
+SCALARS = "__scalars"
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """``df`` with the one row as a struct column, whose plan is there once however often
+    it is used, and not at all if it is not used."""
+    return df.withColumn(SCALARS, scalar_struct(one_row))
+
+
+def scalar(name: str) -> Column:
+    return F.col(SCALARS).getField(name)
+
+
 def by_sets(
     df: DataFrame, sets: Mapping[str, Sequence[str]], measures: Sequence[Column]
 ) -> dict[str, DataFrame]:
@@ -131,46 +155,15 @@ def _comparable(df: DataFrame, c: str) -> Column:
     return F.col(f"`{c}`") + F.lit(0.0) if floating else F.col(f"`{c}`")
 
 
-def _signed_log(c: Column) -> Column:
-    return F.signum(c) * F.log1p(F.abs(c))
-
-
-def _narrowed(counts: DataFrame, picks: DataFrame, scale: Callable[[Column], Column]) -> DataFrame:
-    """Each pick (name, rank, before, lo, hi) cut to the slot of its range that holds it.
-
-    ``scale`` must not decrease, then neither do the slots, and the rows before a slot
-    can be added up. The picks are few, so the hint is safe; a histogram has ``SLOTS``
-    rows for each pick.
-    """
-    lo, hi, value = scale(F.col("lo")), scale(F.col("hi")), scale(F.col("value"))
-    slot = F.floor((value - lo) / F.when(hi > lo, hi - lo) * SLOTS)
-    slot = F.coalesce(F.greatest(F.least(slot, F.lit(SLOTS - 1)), F.lit(0)), F.lit(0))
-    inside = _within(counts, picks).withColumn("slot", slot)
-    slots = inside.groupBy("name", "total", "rank", "before", "slot").agg(
-        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    upto = Window.partitionBy("name", "rank").orderBy("slot")
-    stop = F.col("before") + F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0))
-    held = slots.withColumn("stop", stop).withColumn("before", F.col("stop") - F.col("n"))
-    held = held.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("stop")))
-    return held.select("name", "total", "rank", "before", "lo", "hi")
-
-
-def _within(counts: DataFrame, picks: DataFrame) -> DataFrame:
-    """The counted values in the range of each pick."""
-    mine = F.broadcast(picks.withColumnRenamed("name", "__name"))
-    on = (F.col("name") == F.col("__name")) & F.col("value").between(F.col("lo"), F.col("hi"))
-    return counts.join(mine, on).drop("__name")
-
-
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int | None = None
 ) -> DataFrame:
     """One row with column ``<col>|<p>`` per column and probability, interpolated linearly.
 
-    Exact by default: values are counted, each wanted rank is narrowed to a thin slice of
-    them, and the slice is ordered. With ``accuracy`` the result is ``approx_percentile``
-    with that accuracy, in one pass.
+    Exact by default: a sketch of each column brackets every probability, one pass counts
+    the values in a bracket and those below it, each wanted rank is narrowed to a thin slot
+    of the bracket, and the slot is ordered. With ``accuracy`` the result is
+    ``approx_percentile`` with that accuracy, in one pass. NaN counts as missing.
     """
     if accuracy is not None:
         return df.agg(
@@ -181,37 +174,77 @@ def exact_quantiles(
                 for p in probs
             ]
         )
-    counts = value_counts_long(df, cols, "double")
-    position = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
-    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in position])))
-    picks = (
-        counts.groupBy("name")
-        .agg(F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select("name", "total", F.explode(wanted).alias("rank"), F.lit(0).cast("long").alias("before"), "lo", "hi")
+    values = df.select(
+        *[F.nanvl(_comparable(df, c).cast("double"), F.lit(None)).alias(f"c{i}") for i, c in enumerate(cols)]
     )
-    # first slots of equal ratio, since values may span many magnitudes, then of equal width
-    picks = _narrowed(counts, picks, _signed_log)
-    picks = _narrowed(counts, picks, lambda c: c / 2)
-    upto = Window.partitionBy("name", "rank").orderBy("value")
-    stop = F.col("before") + F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0))
-    ranks = (
-        _within(counts, picks)
-        .withColumn("stop", stop)
-        .where((F.col("stop") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("stop")))
+    wanted = [(i, float(p)) for i in range(len(cols)) for p in probs]
+    names = [quantile_name(c, p) for c in cols for p in probs]
+    sketches = ", ".join(
+        f"kll_sketch_agg_double(c{i}, {SKETCH}) AS s{i}, count(c{i}) AS n{i}, min(c{i}) AS least{i}, max(c{i}) AS most{i}"
+        for i in range(len(cols))
     )
-
-    def at(c: str, rank: Column) -> Column:
-        return F.max(F.when((F.col("name") == c) & (F.col("rank") == rank), F.col("value")))
-
-    picked = []
-    for c in cols:
-        for p in probs:
-            x = F.lit(float(p)) * (F.col("total") - 1)
-            low, high = at(c, F.floor(x)), at(c, F.ceil(x))
-            # total is the same on all rows of one column
-            part = F.max(F.when(F.col("name") == c, x - F.floor(x)))
-            picked.append((low + (high - low) * part).alias(quantile_name(c, p)))
-    return ranks.groupBy().agg(*picked)
+    brackets = ", ".join(
+        f"struct({k} AS pick, {i} AS of, {p!r}D AS p, n{i} AS total, CASE WHEN n{i} > {FEW}"
+        f" THEN kll_sketch_get_quantile_double(s{i}, {_ranks_near(p)}) ELSE array(least{i}, most{i}) END AS edges)"
+        for k, (i, p) in enumerate(wanted)
+    )
+    rows = ", ".join(f"struct({i} AS of, c{i} AS x)" for i in range(len(cols)))
+    out = ", ".join(
+        f"max(value) FILTER (WHERE pick = {k} AND rank = low) + (max(value) FILTER (WHERE pick = {k} AND rank = high)"
+        f" - max(value) FILTER (WHERE pick = {k} AND rank = low)) * max(at - low) FILTER (WHERE pick = {k}) AS q{k}"
+        for k in range(len(wanted))
+    )
+    found = df.sparkSession.sql(
+        _QUANTILES.replace("SKETCHES", sketches)
+        .replace("BRACKETS", brackets)
+        .replace("COLUMNS", rows)
+        .replace("PIECES", str(SLOTS))
+        .replace("RESULTS", out),
+        rows=values,
+    )
+    return found.toDF(*names)
+
+
+def _ranks_near(p: float) -> str:
+    """Ranks around a probability, as shares of the rows, at which a bracket is cut."""
+    shares = [p + MARGIN * (2 * k / CUTS - 1) for k in range(CUTS + 1)]
+    return "array(" + ", ".join(f"{min(1.0, max(0.0, r))!r}D" for r in shares) + ")"
+
+
+# A pick is a column and a probability. Its bracket is cut at the edges, which the sketch
+# spaces by rank, and between two edges into slots of equal width; slot -1 is what lies below.
+# Slots do not decrease with the value, so the rows before a slot can be added up.
+_QUANTILES = """
+WITH sketched AS (SELECT SKETCHES FROM {rows}),
+brackets AS (SELECT *, edges[0] AS lo, edges[size(edges) - 1] AS hi FROM (SELECT inline(array(BRACKETS)) FROM sketched)),
+near AS (
+  SELECT /*+ BROADCAST(b) */ pick, total, p, edges, x,
+    CASE WHEN x >= lo THEN size(filter(edges, e -> e <= x)) - 1 ELSE -1 END AS j
+  FROM (SELECT inline(array(COLUMNS)) FROM {rows}) v JOIN brackets b ON v.of = b.of AND x <= hi),
+placed AS (
+  SELECT pick, total, p, CASE WHEN j >= 0 THEN x END AS value, CASE WHEN j < 0 THEN -1
+    WHEN j >= size(edges) - 1 THEN j * PIECES
+    ELSE j * PIECES + floor(least(greatest(nanvl(coalesce(
+      try_divide(x / 2 - edges[j] / 2, edges[j + 1] / 2 - edges[j] / 2), 0D), 0D) * PIECES, 0D), PIECES - 1D)) END AS slot
+  FROM near),
+counted AS (SELECT pick, total, p, slot, value, count(*) AS n FROM placed GROUP BY pick, total, p, slot, value),
+slots AS (SELECT pick, total, p, slot, sum(n) AS n FROM counted GROUP BY pick, total, p, slot),
+summed AS (
+  SELECT pick, slot, p * (total - 1) AS at, n, sum(n) OVER (PARTITION BY pick ORDER BY slot) AS stop,
+    sum(n) OVER (PARTITION BY pick) AS found FROM slots),
+ranked AS (
+  SELECT pick, slot, at, floor(at) AS low, ceil(at) AS high, stop - n AS before, stop, found,
+    explode(array_distinct(array(floor(at), ceil(at)))) AS rank FROM summed),
+held AS (
+  SELECT pick, slot, at, low, high, before, CASE WHEN slot >= 0 AND rank < found THEN rank
+    ELSE CAST(raise_error('a quantile lies outside its bracket; raise MARGIN') AS BIGINT) END AS rank
+  FROM ranked WHERE before <= rank AND rank < stop OR rank >= found),
+ordered AS (
+  SELECT /*+ BROADCAST(h) */ h.pick, at, low, high, rank, value, n,
+    before + sum(n) OVER (PARTITION BY h.pick, rank ORDER BY value) AS stop
+  FROM counted c JOIN held h ON c.pick = h.pick AND c.slot = h.slot)
+SELECT RESULTS FROM ordered WHERE stop - n <= rank AND rank < stop
+"""
 
 
 def quantile_name(c: str, p: float) -> str:
