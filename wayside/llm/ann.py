@@ -6,8 +6,8 @@ agree on the first characters more often. Vectors are brought to unit length by
 coordinate, which makes nearness in angle the order of inner products.
 
 A query descends to the longest prefix that it shares with enough vectors and ascends in
-all trees at once, a character at a time, until ``want`` candidates share its prefixes:
-the number for each prefix is counted beforehand, so the length is known for each query.
+all trees at once, a character at a time, until ``want`` candidates share its prefixes and
+more than ``k`` of them in one tree: the number for each prefix is counted beforehand, so the length is known for each query.
 ``want`` is set from a bounded sample of queries compared with all vectors, as the number
 that would have found the share ``TARGET`` of their true neighbours; random vectors need
 many candidates, clustered ones few. Candidates are gathered by joining on (tree, prefix):
@@ -158,7 +158,7 @@ def nearest(
         return _empty(vectors.sparkSession, id_col)
 
     hashed = materialize(_hash(reps, longest))
-    level = _levels(hashed, _want(hashed, reps, longest, k))
+    level = _levels(hashed, _want(hashed, reps, longest, k), k)
     found = _search(hashed, level, k)
     # a vector is always near itself: its equals are candidates
     own = reps.where("asked = 1").select(
@@ -268,8 +268,12 @@ def _want(hashed: DataFrame, reps: DataFrame, longest: float, k: int) -> int:
     return need[min(len(need) - 1, int(np.ceil(TARGET * len(need))))]
 
 
-def _levels(hashed: DataFrame, want: int) -> DataFrame:
-    """(q, n): for each query the longest prefix at which it has ``want`` candidates, or 0."""
+def _levels(hashed: DataFrame, want: int, k: int) -> DataFrame:
+    """(q, n): for each query the longest prefix at which it has ``want`` candidates, or 0.
+
+    A vector that shares prefixes in several trees counts in each; so one tree must have
+    more than ``k`` on its own, which are different vectors, at most one of them the query.
+    """
     tree = lambda c: F.posexplode(c).alias("t", "s")
     dim = F.size("v").alias("dim")
     every = F.explode(F.array(*[F.lit(n) for n in range(1, LENGTH + 1)])).alias("n")
@@ -281,8 +285,8 @@ def _levels(hashed: DataFrame, want: int) -> DataFrame:
     enough = (
         ask.join(held, ["dim", "t", "n", "p"])
         .groupBy("q", "n")
-        .agg(F.sum("m").alias("m"))
-        .where(F.col("m") >= want)
+        .agg(F.sum("m").alias("m"), F.max("m").alias("most"))
+        .where((F.col("m") >= want) & (F.col("most") > k))
         .groupBy("q")
         .agg(F.max("n").alias("n"))
     )
