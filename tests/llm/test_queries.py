@@ -53,7 +53,7 @@ def test_quality_query(spark):
 def test_pipeline_against_plain_versions_of_its_stages(spark):
     """Every stage on its own input; the classifier by its own model, one text at a time."""
     import pyarrow as pa
-    from test_mixing import copies_of, targets
+    from test_mixing import copies_by_id, targets
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
@@ -86,7 +86,8 @@ def test_pipeline_against_plain_versions_of_its_stages(spark):
     for _, t, s in docs_of(three):
         sizes[s] += len(words(t))
     goal = targets(sizes)
-    want = Counter({d: copies_of(d[0], goal[d[2]] / sizes[d[2]]) for d in docs_of(three)})
+    copies = copies_by_id([(i, len(words(t)), s) for i, t, s in docs_of(three)], goal)
+    want = Counter({d: copies[d[0], d[2]] for d in docs_of(three)})
     assert Counter(docs_of(four)) == +want
     assert four.columns == docs.columns
 

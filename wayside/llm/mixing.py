@@ -2,7 +2,9 @@
 
 Only DataFrame functions: sizes are added up per source, the targets are found among the
 sources, and each document is repeated floor(rate) times plus once more with a
-probability of the fraction, decided by a hash of its id and a seed.
+probability of the fraction, decided by a hash of its id and a seed. The draws of a source
+are not independent: its documents are repeated in the order of their hashes until the words
+reach the target, so that small sources come near it as well.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayside.llm.spans import WORD
+from wayside.operators.scale import running_total
 from wayside.session import materialize
 
 #: Weights by rank of the source's name, repeating; share of all sizes; most repeats.
@@ -64,22 +67,45 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
     )
 
 
-def _with_targets(rows: DataFrame, sized: DataFrame, source: str, how: tuple) -> DataFrame:
-    """``rows`` with their source's size and target, the latter from the sized rows."""
+def _draw(doc_id: Column, seed: str) -> Column:
+    """A whole number below 2**48 from the hash of seed and id."""
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("long")
+
+
+def _rate() -> Column:
+    return F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+
+
+def _by_source(rows: DataFrame, table: DataFrame, source: str) -> DataFrame:
+    """``rows`` with the columns of a table of one row per source (``__of``)."""
+    held = table.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("__of"), F.lit(0)) + 64), F.lit(0))).first()[0]
+    if held <= MAX_BROADCAST_BYTES:
+        table = F.broadcast(table)
+    return rows.join(table, rows[f"`{source}`"].eqNullSafe(F.col("__of"))).drop("__of")
+
+
+def _with_targets(rows: DataFrame, sized: DataFrame, source: str, how: tuple, seed: str) -> DataFrame:
+    """``rows`` with their source's size, target and cut, from the sized rows.
+
+    The cut is the last draw, in ascending order, up to which a source's documents are
+    repeated once more: as many as bring its words nearest to the target.
+    """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, *how).withColumnRenamed("source", "__of"))
-    held = targets.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("__of"), F.lit(0)) + 64), F.lit(0))).first()[0]
-    if held <= MAX_BROADCAST_BYTES:
-        targets = F.broadcast(targets)
-    return rows.join(targets, rows[f"`{source}`"].eqNullSafe(F.col("__of"))).drop("__of")
+    draws = sized.groupBy("source", _draw(F.col("doc_id"), seed).alias("draw")).agg(F.sum("size").alias("size"))
+    upto = running_total(draws, ["draw"], "size", "upto", by=["source"])
+    more = (_rate() - F.floor(_rate())) * F.col("source_size")
+    some = _by_source(upto, targets, "source").where((more > 0) & (F.col("upto") - F.col("size") / 2.0 <= more))
+    cuts = some.groupBy(F.col("source").alias("__source")).agg(F.max("draw").alias("cut"))
+    held = targets.join(cuts, F.col("__of").eqNullSafe(F.col("__source")), "left").drop("__source")
+    return _by_source(rows, materialize(held), source)
 
 
 def _copies(doc_id: Column, seed: str) -> Column:
-    """Whole repeats of the rate, and one more by the hash of the id."""
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    draw = F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
-    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
+    """Whole repeats of the rate, and one more if the draw of the id is not beyond the cut."""
+    once_more = F.coalesce(_draw(doc_id, seed) <= F.col("cut"), F.lit(False))
+    return (F.floor(_rate()) + once_more.cast("long")).cast("long")
 
 
 def _sized(docs: DataFrame, text_col: str, source_col: str, *more: Column) -> DataFrame:
@@ -105,7 +131,7 @@ def with_copies(
     columns are ignored; an empty table gives an empty one.
     """
     sized = _sized(docs, text_col, source_col, F.col(f"`{id_col}`").alias("doc_id"))
-    mixed = _with_targets(sized, sized, "source", (weights, share, most))
+    mixed = _with_targets(sized, sized, "source", (weights, share, most), seed)
     return mixed.select(
         F.col("doc_id").alias(id_col),
         F.col("source").alias(source_col),
@@ -129,8 +155,8 @@ def mix_sources(
     """The mixture: the rows of ``docs`` with their columns, each as often as ``with_copies`` says."""
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.toDF(*names.values())
-    sized = _sized(docs, text_col, source_col)
-    mixed = _with_targets(rows, sized, names[source_col], (weights, share, most))
+    sized = _sized(docs, text_col, source_col, F.col(f"`{id_col}`").alias("doc_id"))
+    mixed = _with_targets(rows, sized, names[source_col], (weights, share, most), seed)
     times = _copies(F.col(names[id_col]), seed).cast("int")
     return (
         mixed.withColumn("times", times)

@@ -191,10 +191,16 @@ WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, '')
    coalesce(least(CAST(bound AS DOUBLE), r.w * level_full / open_w), CAST(bound AS DOUBLE)) AS target FROM r LEFT JOIN l ON true),
  x AS (SELECT d.doc_id, d.size, t.source_size, t.target,
    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-   CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12)) AS BIGINT) / 281474976710656.0::DOUBLE AS draw
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+   CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12)) AS BIGINT) AS draw, d.source
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+ g AS (SELECT source, draw, CAST(sum(size) AS BIGINT) AS n, any_value(rate - floor(rate)) * any_value(source_size) AS more
+  FROM x GROUP BY source, draw),
+ c AS (SELECT source, max(draw) AS cut
+  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY source ORDER BY draw) AS DOUBLE) - n / 2.0::DOUBLE AS middle FROM g)
+  WHERE more > 0 AND middle <= more GROUP BY source)
 SELECT doc_id, size, source_size, target,
- CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x""",
+ CAST(size * (floor(rate) + CASE WHEN draw <= cut THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM x LEFT JOIN c ON x.source IS NOT DISTINCT FROM c.source""",
 )
 def op9(spark, sf):
     mixed = mixing.with_copies(table(spark, sf, "documents"))
