@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 from functools import partial, reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +19,9 @@ from wayside.functions.text import categorize_text
 from wayside.operators.aggregates import sort_output
 from wayside.operators.cleaning import with_timestamps
 from wayside.operators.star import Star
+from wayside.session import materialize
 from wayside.sources.publish import Publication, parent
+from wayside.sources.records import csv_records, file_headers
 
 # Declared types of the raw columns. Other columns stay text.
 RAW_TYPES: dict[str, T.DataType] = {
@@ -71,31 +75,73 @@ def _missing_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
+#: Files of one header that are listed by name, at most.
+LISTED = 1000
 #: Column of the records that the CSV reader could not take as they are.
 BAD_RECORD = "_bad_record"
 
 
-def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files at ``path`` by their header.
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("\ufeff").rstrip("\r")]), [])
 
-    Only the first line of a file is read, by the driver; files are few beside their rows.
+
+def _schema(header: str) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*_names(header), BAD_RECORD)])
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in schema.names)
+
+
+def _plain_path(uri: str) -> str:
+    """A file's path as a reader takes it: not encoded, and without patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def _unbroken(spark: SparkSession, path: str, files: DataFrame, headers: Sequence[tuple[str, int]]) -> DataFrame:
+    """The records of all files, a line each, by the header of their file.
+
+    Files with the most frequent header are read together by their path; those of any other
+    are listed if they are few.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    out: dict[tuple[str, ...], list[str]] = {}
-    for (name,) in listed.where("length > 0").select("path").orderBy("path").collect():
-        file = jvm.org.apache.hadoop.fs.Path(name)
-        stream = file.getFileSystem(conf).open(file)
-        try:
-            codec = codecs.getCodec(file)
-            plain = codec.createInputStream(stream) if codec is not None else stream
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
-        finally:
-            stream.close()
-        names = next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
-        out.setdefault(tuple(names), []).append(name)
-    return out
+    parts = []
+    for k, (header, n) in enumerate(headers):
+        others = [h for h, _ in headers if h != header]
+        reader = spark.read.options(**CSV_OPTIONS, columnNameOfCorruptRecord=BAD_RECORD, recursiveFileLookup=True)
+        reader, name = reader.schema(_schema(header)), F.col("_metadata.file_path")
+        if not others:
+            parts.append(reader.csv(path))
+        elif k and n <= LISTED:
+            names = files.where(F.col("header") == header).select("file").collect()
+            parts.append(reader.csv([_plain_path(r.file) for r in names]))
+        elif sum(m for _, m in headers[1:]) <= LISTED:
+            left_out = files.where(F.col("header").isin(others)).select("file").collect()
+            parts.append(reader.csv(path).where(~name.isin([r.file for r in left_out])))
+        else:
+            mine = files.where(F.col("header") == header).select(F.col("file").alias("__file"))
+            placed = reader.csv(path).withColumn("__path", name)
+            parts.append(placed.join(mine, F.col("__path") == F.col("__file"), "left_semi").drop("__path"))
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+
+
+def _broken(spark: SparkSession, path: str, files: DataFrame, headers: Sequence[tuple[str, int]]) -> DataFrame:
+    """The records of all files, whose quoted fields may hold line breaks; read once."""
+    records = csv_records(spark, path)
+    schemas = {header: _schema(header) for header, _ in headers}
+    columns = list(dict.fromkeys(c for schema in schemas.values() for c in schema.names))
+    options = {k: str(CSV_OPTIONS[k]) for k in ("quote", "escape")} | {"columnNameOfCorruptRecord": BAD_RECORD}
+
+    def fields(header: str) -> Column:
+        parsed = F.from_csv("record", _ddl(schemas[header]), options)
+        have = schemas[header].names
+        cells = [parsed[c].alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns]
+        return F.struct(*cells)
+
+    if len(headers) == 1:
+        return records.select(fields(headers[0][0]).alias("r")).select("r.*")
+    named = records.join(files.withColumnRenamed("file", "__file"), F.col("file") == F.col("__file"))
+    cells = [F.when(F.col("header") == h, fields(h)) for h, _ in headers]
+    return named.select(F.coalesce(*cells).alias("r")).select("r.*")
 
 
 def read_incidents(
@@ -104,25 +150,22 @@ def read_incidents(
     """The raw incident table with its two time columns parsed.
 
     For CSV each file's own header gives its column order; a column that a file lacks is
-    null in its rows. Declared columns get their type, without a pass over the data to
-    infer it. NaN and, in a CSV, the texts that stand for a missing value become null, and
-    damaged time texts are repaired as far as possible. ``multi_line`` allows line breaks
-    inside quotes, which keeps Spark from splitting a file: write many files of moderate
-    size then. With ``keep_bad`` the column ``_bad_record`` holds the text of every record
-    that does not fit its header or types (see ``bad_records``), else null.
+    null in its rows. The headers are found by a Spark job over the files' first splits.
+    Declared columns get their type, without a pass over the data to infer it. NaN and, in
+    a CSV, the texts that stand for a missing value become null, and damaged time texts are
+    repaired as far as possible. ``multi_line`` allows line breaks inside quotes; a file is
+    still read by as many tasks as it has splits (see ``records``). With ``keep_bad`` the
+    column ``_bad_record`` holds the text of every record that does not fit its header or
+    types (see ``bad_records``), else null.
     """
     try:
         if fmt == "csv":
-            parts = [
-                spark.read.options(**CSV_OPTIONS, multiLine=multi_line, columnNameOfCorruptRecord=BAD_RECORD)
-                .schema(T.StructType([T.StructField(c, T.StringType()) for c in (*header, BAD_RECORD)]))
-                .csv(files)
-                for header, files in csv_headers(spark, path).items()
-            ]
-            if not parts:
+            files = materialize(file_headers(spark, path))
+            counted = files.groupBy("header").agg(F.count(F.lit(1)).alias("n"))
+            headers = [tuple(r) for r in counted.orderBy(F.col("n").desc(), "header").collect()]
+            if not headers:
                 raise FileNotFoundError(path)
-            texts = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
-            raw = _typed(texts)
+            raw = _typed((_broken if multi_line else _unbroken)(spark, path, files, headers))
         else:
             raw = spark.read.format(fmt).load(path)
             if keep_bad:
