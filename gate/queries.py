@@ -893,6 +893,29 @@ def w4(spark, sf):
     return st.surrogate_id(seen, "first_seen", "Street", "L", "id")
 
 
+_EARLY = """(SELECT o_custkey, row_number() OVER (ORDER BY min(o_orderkey), o_custkey) AS n FROM orders
+ WHERE o_orderdate < TIMESTAMP '1993-01-01' GROUP BY 1) e"""
+
+
+@register(
+    "w4_kept_ids",
+    f"""SELECT o_custkey, 'C' || CAST(n AS VARCHAR) AS id FROM {_EARLY}
+UNION ALL SELECT o_custkey, 'C' || CAST((SELECT count(*) FROM {_EARLY})
+ + row_number() OVER (ORDER BY first_seen, o_custkey) AS VARCHAR)
+FROM (SELECT o_custkey, min(o_orderkey) AS first_seen FROM orders GROUP BY 1) a
+WHERE o_custkey NOT IN (SELECT o_custkey FROM {_EARLY})""",
+)
+def w4_kept(spark, sf):
+    """Customers of the first year keep their ids when the other years are loaded."""
+    orders = table(spark, sf, "orders")
+    early = orders.where(F.col("o_orderdate") < F.lit("1993-01-01").cast(orders.schema["o_orderdate"].dataType))
+    first_seen = F.min("o_orderkey").alias("first_seen")
+    ids, how = None, ("first_seen", "o_custkey", "C", "id")
+    for load in (early, orders):
+        ids = st.kept_ids(load.groupBy("o_custkey").agg(first_seen), *how, ids)
+    return ids
+
+
 @register(
     "l1_top_states",
     """SELECT "State", count(*) AS "count" FROM incidents WHERE "State" IS NOT NULL GROUP BY 1

@@ -10,9 +10,11 @@ from gate import fixtures as fx
 from gate.fixtures import SETTINGS
 from tests.conftest import SF_MID, SF_SMALL
 from wayside.operators import aggregates as agg
+from wayside.operators import profiling as pf
 from wayside.operators import scale as sc
 from wayside.operators import star as st
 from wayside.plans import jobs
+from wayside.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -194,3 +196,43 @@ def test_quantiles_from_brackets(spark, monkeypatch):
     for c, vals in (("x", x), ("y", y[y > 0])):
         for p in probs:
             assert got[sc.quantile_name(c, p)] == pytest.approx(np.quantile(vals, p), rel=1e-12)
+
+
+def test_ids_stay_over_loads(spark):
+    """A second load numbers only what is new, and a third without new texts nothing."""
+    schema = "ID string, Weather_Condition string"
+    first = spark.createDataFrame([("A-5", "Rain"), ("A-9", None), ("A-7", "Fog")], schema)
+    one = st.build_dim_weather(first)
+    second = first.where("ID != 'A-5'").union(spark.createDataFrame([("A-1", "Snow"), ("A-2", "Ice"), ("A-3", "Fog")], schema))
+    two = st.build_dim_weather(second, kept=one)
+    got = {r.Weather_Condition: r.weather_id for r in two.collect()}
+    assert got == {"Rain": "W1", "Fog": "W2", None: "W3", "Snow": "W4", "Ice": "W5"}
+    placed = second.select("*", F.lit("s").alias("Street"), F.lit("c").alias("City"), F.lit(None).cast("timestamp_ntz").alias("Start_Time"))
+    three = st.build_dimensions(placed, dims=("weather",), kept_weather=two)
+    assert {r.Weather_Condition: r.weather_id for r in three["dim_weather"].collect()} == got
+
+
+def test_a_second_run_keeps_ids(spark):
+    source, out = (scratch_path(spark, n) for n in ("raw", "etl"))
+    rows = fx.incidents(spark, SF_SMALL)
+    rows.where("Weather_Condition is null or Weather_Condition > 'G'").write.parquet(source)
+    run = lambda: jobs.run_etl(spark, source, out, SETTINGS, fmt="parquet", with_profile=False, keep_ids=True)
+    before = {r.Weather_Condition: r.weather_id for r in run().star.dim_weather.collect()}
+    rows.write.mode("overwrite").parquet(source)
+    done = run()
+    after = {r.Weather_Condition: r.weather_id for r in done.star.dim_weather.collect()}
+    assert len(after) > len(before) > 3 and before.items() <= after.items()
+    assert sorted(int(i[1:]) for i in after.values()) == list(range(1, len(after) + 1))
+    assert done.report.where("name = 'star' and status = 'PASS'").count() == 1
+
+
+def test_duplicates_by_hashes_first(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(40), rng.choice("ab"), None if rng.random() < 0.1 else 1.5) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a long, b string, c double")
+    assert pf.duplicate_count(df).first().duplicates == len(rows) - len(set(rows))
+    once = pf.duplicate_count(df.distinct())
+    assert once.first().duplicates == 0
+    # nothing occurs twice, so no row is read again
+    assert "Scan ExistingRDD" not in once._jdf.queryExecution().executedPlan().toString()
+    assert pf.duplicate_count(df.where("a < 0")).first().duplicates == 0

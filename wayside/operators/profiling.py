@@ -20,6 +20,7 @@ from wayside.operators.scale import (
     with_scalars,
 )
 from wayside.operators.star import row_order
+from wayside.session import materialize
 
 
 def q(name: str) -> Column:
@@ -61,17 +62,19 @@ def top_missing(df: DataFrame, n: int = 10) -> DataFrame:
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row: rows beyond the first of their key, or of the whole row.
 
-    Two 64-bit hashes of a row cross the network instead of the row. Rows that agree on
-    both are then compared in full; few rows do, unless there are many duplicates.
+    Two 64-bit hashes of a row cross the network instead of the row. Those that occur twice
+    are written first; without any, no row is read again. Rows that agree on both hashes are
+    compared in full, and only they are shuffled if Spark broadcasts the written hashes.
     """
     cols = [q(c) for c in (keys or df.columns)]
     if len(cols) == 1:
         groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
         return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicates"))
     marked = df.select(F.xxhash64(*cols).alias("__h1"), F.xxhash64(F.lit(1), *cols).alias("__h2"), *cols)
-    often = (
-        marked.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
-    )
+    often = marked.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    often = materialize(often)
+    if often.isEmpty():
+        return often.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("duplicates"))
     same = marked.join(often.select("__h1", "__h2"), ["__h1", "__h2"], "left_semi")
     groups = same.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicates"))

@@ -75,6 +75,26 @@ def surrogate_id(df: DataFrame, first_seen: str, key: str, prefix: str, out: str
     ).drop("__one", "__pos")
 
 
+def kept_ids(
+    df: DataFrame, first_seen: str, key: str, prefix: str, out: str, kept: DataFrame | None
+) -> DataFrame:
+    """(key, out): the ids of ``surrogate_id``, except that those of ``kept`` stay.
+
+    ``kept`` is the (key, out) of an earlier load. Its keys keep their ids, whether or not
+    they occur again; keys it lacks are numbered from its highest id on, by first appearance.
+    A null key matches a null key.
+    """
+    if kept is None:
+        return surrogate_id(df, first_seen, key, prefix, out).select(key, out)
+    old = kept.select(F.col(key).alias("__key"), F.col(out).alias("__id"))
+    new = df.join(old, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    numbers = old.select(F.substring("__id", len(prefix) + 1, 20).cast("long").alias("n"))
+    highest = F.coalesce(numbers.agg(F.max("n")).scalar(), F.lit(0))
+    numbered = running_total(new.withColumn("__one", F.lit(1)), [first_seen, key], "__one", "__pos")
+    named = F.concat(F.lit(prefix), (highest + F.col("__pos")).cast("string"))
+    return old.toDF(key, out).union(numbered.select(key, named.alias(out)))
+
+
 # ---------------------------------------------------------------- dimensions
 
 
@@ -95,15 +115,22 @@ def build_dim_location(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     return _dim_location(rows.groupBy("Location_id", *places).agg(*_seen(rows)), places)
 
 
-def build_dim_weather(df: DataFrame) -> DataFrame:
+def build_dim_weather(df: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """One row per weather text; the ids of an earlier dimension ``kept`` stay."""
     seen = df.groupBy("Weather_Condition").agg(F.min(row_order(df)).alias("__seq"))
-    return _dim_weather(seen)
+    return _dim_weather(seen, kept)
 
 
 def build_dimensions(
-    df: DataFrame, settings: Settings = DEFAULT, dims: Sequence[str] = DIMENSIONS
+    df: DataFrame,
+    settings: Settings = DEFAULT,
+    dims: Sequence[str] = DIMENSIONS,
+    kept_weather: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The wanted dimensions by table name, from one pass over the rows."""
+    """The wanted dimensions by table name, from one pass over the rows.
+
+    Days and locations are their own keys; the ids of an earlier weather dimension stay.
+    """
     places = present(df, PLACE_COLS)
     sets = {
         "dim_time": ("Date",),
@@ -118,7 +145,7 @@ def build_dimensions(
     make = {
         "dim_time": lambda days: _dim_time(days.select("Date")),
         "dim_location": lambda combos: materialize(_dim_location(combos, places)),
-        "dim_weather": lambda texts: _dim_weather(texts.select("Weather_Condition", "__seq")),
+        "dim_weather": lambda texts: _dim_weather(texts.select("Weather_Condition", "__seq"), kept_weather),
     }
     return {name: make[name](found) for name, found in seen.items()}
 
@@ -156,10 +183,9 @@ def _dim_location(combos: DataFrame, places: Sequence[str]) -> DataFrame:
     )
 
 
-def _dim_weather(seen: DataFrame) -> DataFrame:
-    return surrogate_id(seen, "__seq", "Weather_Condition", "W", "weather_id").select(
-        "weather_id", "Weather_Condition"
-    )
+def _dim_weather(seen: DataFrame, kept: DataFrame | None) -> DataFrame:
+    ids = kept_ids(seen, "__seq", "Weather_Condition", "W", "weather_id", kept)
+    return ids.select("weather_id", "Weather_Condition")
 
 
 # ---------------------------------------------------------------- fact

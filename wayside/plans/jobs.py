@@ -254,6 +254,7 @@ def run_etl(
     fmt: str = "csv",
     with_profile: bool = True,
     multi_line: bool = False,
+    keep_ids: bool = False,
 ) -> EtlResult:
     """Load, profile, clean, star, aggregates, validation; every stage is written.
 
@@ -263,11 +264,14 @@ def run_etl(
     are there and checked, they replace those of an earlier run together (see
     ``publish``), and a run that fails leaves those. Null counts, ranges and domains are
     checked on the rows as they are written. The number of unreadable records is in
-    ``profile/bad_records``. Scratch tables go at the end, also after an error.
+    ``profile/bad_records``. With ``keep_ids`` weather texts that an earlier run below ``out``
+    has numbered keep their ids. Scratch tables go at the end, also after an error.
     """
     out = out.rstrip("/")
     with scratch_removed(spark), Publication(spark, out) as new:
-        _run_etl(new, source, settings, fmt, with_profile, multi_line)
+        known = star_paths(out)["dim_weather"]
+        kept = read_table(spark, known) if keep_ids and new.files.exists(known) else None
+        _run_etl(new, source, settings, fmt, with_profile, multi_line, kept)
     names = [path.removeprefix(f"{out}/aggregates/") for path in new.staged if "/aggregates/" in path]
     return EtlResult(
         read_table(spark, f"{out}/cleaned"),
@@ -279,7 +283,13 @@ def run_etl(
 
 
 def _run_etl(
-    new: Publication, source: str, settings: Settings, fmt: str, with_profile: bool, multi_line: bool
+    new: Publication,
+    source: str,
+    settings: Settings,
+    fmt: str,
+    with_profile: bool,
+    multi_line: bool,
+    kept_weather: DataFrame | None,
 ) -> None:
     spark, out = new.spark, new.root
     parsed = materialize(read_incidents(spark, source, fmt, multi_line, keep_bad=True))
@@ -306,7 +316,7 @@ def _run_etl(
         at_once([partial(one, name) for name in tables])
         return staged
 
-    dims = write(build_dimensions(cleaned, settings), paths.get)
+    dims = write(build_dimensions(cleaned, settings, kept_weather=kept_weather), paths.get)
     fact = new.write(build_fact(cleaned, dims["dim_weather"], settings), paths["accident_detail"])
     star = star_of({"accident_detail": fact, **dims})
     on_star = materialize(check_star(star, settings))
