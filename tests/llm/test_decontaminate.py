@@ -69,3 +69,12 @@ def test_empty_tables(spark, make_docs):
     assert contained_items(make_docs([]), make_items(spark, items)).collect() == []
     assert contained_items(make_docs(docs), make_items(spark, [])).collect() == []
     assert drop_contaminated(make_docs(docs), make_items(spark, [])).count() == len(docs)
+
+
+def test_columns_of_any_name_stay(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, 5, "x"), (2, text, 6, "y"), (3, "other words that are not the same", 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __gone long, `a.b` string")
+    kept = drop_contaminated(docs, make_items(spark, [(1, "one two three four five six")]))
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[2]]

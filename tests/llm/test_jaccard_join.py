@@ -160,3 +160,12 @@ def test_components(spark, seed):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in linked)
+
+
+def test_columns_of_any_name_stay(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, 5, "x"), (2, text, 6, "y"), (3, "other words that are not the same", 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __gone long, `a.b` string")
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]

@@ -149,4 +149,12 @@ def drop_contaminated(
     """The rows of ``docs`` that hold no item, with all their columns; null ids stay."""
     found = contained_items(docs, items, id_col, text_col)
     gone = found.select(F.col(f"`{id_col}`").alias("__gone")).distinct()
-    return docs.join(gone, docs[f"`{id_col}`"] == F.col("__gone"), "left_anti")
+    return without(docs, id_col, gone)
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows whose id is not in the one column of ``gone``, whatever their columns are called."""
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*names.values())
+    kept = rows.join(gone, F.col(names[id_col]) == F.col(gone.columns[0]), "left_anti")
+    return kept.toDF(*docs.columns)

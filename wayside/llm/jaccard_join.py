@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from wayside.llm import sketch
 from wayside.llm.components import components
+from wayside.llm.decontaminate import without
 from wayside.llm.spans import mix, shingle_sets
 from wayside.session import materialize
 
@@ -372,4 +373,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .select(F.col(f"`{id_col}`").alias("__gone"))
         .distinct()
     )
-    return docs.join(gone, docs[f"`{id_col}`"] == F.col("__gone"), "left_anti")
+    return without(docs, id_col, gone)
