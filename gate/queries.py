@@ -1407,6 +1407,12 @@ _OFF = """(SELECT count(*) FILTER (WHERE NOT coalesce(t BETWEEN 99 AND 101, fals
  (SELECT sum(pct_of_state) AS t FROM agg_city_by_state GROUP BY "State") s) x"""
 
 
+@register("q9_guard_range", 'SELECT "ID", "Duration_min" FROM cleaned')
+def q9_guard(spark, sf):
+    df = ru.guard_range(fx.cleaned(spark, sf), "Duration_min", 0, SETTINGS.duration_max_min, "cleaner")
+    return df.select("ID", "Duration_min")
+
+
 @register(
     "q10_check_percentages",
     o.rules_sql("agg_city_by_state", "city", {"pct_of_state": {"min": 0, "max": 100}})

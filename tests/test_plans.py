@@ -16,6 +16,7 @@ from wayside.operators import scale as sc
 from wayside.operators import star as st
 from wayside.plans import jobs
 from wayside.session import scratch_path
+from wayside.sources import tables as io
 
 
 def plan(df) -> str:
@@ -137,3 +138,27 @@ def test_a_bracket_that_misses_is_an_error(spark, monkeypatch):
     df = spark.range(50_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"))
     with pytest.raises(Exception, match="outside its bracket"):
         sc.exact_quantiles(df, ["x"], [0.1, 0.3, 0.5, 0.7, 0.9]).collect()
+
+
+def test_a_bucketed_star_joins_without_moving_the_fact(spark):
+    star = fx.star(spark, SF_SMALL)
+    prefix = f"star_{uuid.uuid4().hex}"
+    io.write_bucketed_star(star, scratch_path(spark, "bucketed"), prefix, 4)
+    stored = io.read_bucketed_star(spark, prefix)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        joined = stored.accident_detail.join(stored.dim_location, "Location_id")
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        lost = plan(st.orphans(stored.accident_detail, stored.dim_location, "Location_id", "Location_id"))
+        assert "Exchange" not in lost
+        plain = star.accident_detail.join(star.dim_location, "Location_id")
+        assert "Exchange" in plan(plain)
+        assert joined.count() == plain.count() == star.accident_detail.count()
+        assert st.star_join(stored, SETTINGS).count() == joined.count()
+    finally:
+        spark.conf.set(key, before)
+        for name in star.tables():
+            spark.sql(f"DROP TABLE {prefix}_{name}")

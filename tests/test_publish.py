@@ -9,6 +9,7 @@ import sys
 import threading
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +213,34 @@ def test_a_guarded_range(spark):
     with pytest.raises(Exception, match="outside"):
         io.write_table(tight, path)
     assert count(spark, path) == 3
+
+
+def test_one_year_is_in_few_row_groups(spark):
+    """Written in ranges of the start time, a year lies in the files it needs."""
+    source = scratch_path(spark, "raw")
+    fx.incidents(spark, SF_SMALL).write.parquet(source)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = {}
+        for cluster in (False, True):
+            out = scratch_path(spark, "etl")
+            done = jobs.run_etl(spark, source, out, SETTINGS, fmt="parquet", with_profile=False, cluster=cluster)
+            rows[cluster] = done.cleaned.count(), done.star.accident_detail.count()
+            for table, column in (("cleaned", "Start_Time"), ("fact/accident_detail", "Start_Time")):
+                groups = held = 0
+                for file in pathlib.Path(f"{out}/{table}".removeprefix("file:")).glob("part-*"):
+                    meta = pq.ParquetFile(file).metadata
+                    at = meta.schema.names.index(column)
+                    for g in range(meta.num_row_groups):
+                        stats = meta.row_group(g).column(at).statistics
+                        groups += 1
+                        held += stats.min.year <= 1997 <= stats.max.year
+                if cluster:
+                    assert groups >= 4 and held <= groups // 2
+                else:
+                    assert held == groups
+        assert rows[False] == rows[True]
+    finally:
+        spark.conf.set(key, before)

@@ -62,6 +62,7 @@ from wayside.sources.publish import Publication
 from wayside.sources.tables import (
     BAD_RECORD,
     bad_records,
+    clustered,
     read_incidents,
     read_star,
     read_table,
@@ -255,6 +256,7 @@ def run_etl(
     with_profile: bool = True,
     multi_line: bool = False,
     keep_ids: bool = False,
+    cluster: bool = False,
 ) -> EtlResult:
     """Load, profile, clean, star, aggregates, validation; every stage is written.
 
@@ -265,13 +267,15 @@ def run_etl(
     ``publish``), and a run that fails leaves those. Null counts, ranges and domains are
     checked on the rows as they are written. The number of unreadable records is in
     ``profile/bad_records``. With ``keep_ids`` weather texts that an earlier run below ``out``
-    has numbered keep their ids. Scratch tables go at the end, also after an error.
+    has numbered keep their ids. With ``cluster`` the cleaned rows and the fact are written
+    in ranges of the start time, at the price of a shuffle each; the rows of one year then
+    are in few files. Scratch tables go at the end, also after an error.
     """
     out = out.rstrip("/")
     with scratch_removed(spark), Publication(spark, out) as new:
         known = star_paths(out)["dim_weather"]
         kept = read_table(spark, known) if keep_ids and new.files.exists(known) else None
-        _run_etl(new, source, settings, fmt, with_profile, multi_line, kept)
+        _run_etl(new, source, settings, fmt, with_profile, multi_line, kept, clustered if cluster else None)
     names = [path.removeprefix(f"{out}/aggregates/") for path in new.staged if "/aggregates/" in path]
     return EtlResult(
         read_table(spark, f"{out}/cleaned"),
@@ -290,6 +294,7 @@ def _run_etl(
     with_profile: bool,
     multi_line: bool,
     kept_weather: DataFrame | None,
+    laid_out: Callable[[DataFrame], DataFrame] | None,
 ) -> None:
     spark, out = new.spark, new.root
     parsed = materialize(read_incidents(spark, source, fmt, multi_line, keep_bad=True))
@@ -299,7 +304,8 @@ def _run_etl(
         about |= profile(raw)
     at_once([partial(new.write, table, f"{out}/profile/{name}") for name, table in about.items()])
 
-    checked, rules = clean(raw, settings), cleaner_gate_rules(settings)
+    laid_out = laid_out or (lambda df: df)
+    checked, rules = laid_out(clean(raw, settings)), cleaner_gate_rules(settings)
     measures = [*rule_measures(checked, rules), *quality_measures(checked, settings)]
     watched, measured = watch(checked, measures)
     cleaned = new.write(watched, f"{out}/cleaned")
@@ -317,7 +323,8 @@ def _run_etl(
         return staged
 
     dims = write(build_dimensions(cleaned, settings, kept_weather=kept_weather), paths.get)
-    fact = new.write(build_fact(cleaned, dims["dim_weather"], settings), paths["accident_detail"])
+    fact = laid_out(build_fact(cleaned, dims["dim_weather"], settings))
+    fact = new.write(fact, paths["accident_detail"])
     star = star_of({"accident_detail": fact, **dims})
     on_star = materialize(check_star(star, settings))
     raise_failures(check_keys(star).unionByName(on_star))
