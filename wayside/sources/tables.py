@@ -267,9 +267,9 @@ def write_bucketed_star(star: Star, root: str, prefix: str, buckets: int) -> Non
     """The four tables as tables of the session's catalogue, ``<prefix>_<name>``, below ``root``.
 
     Fact and locations are stored in as many buckets by ``Location_id``, each sorted, so that
-    their join and the search for orphans move no row of the fact. A bucket is read by one
-    task: meant for keys none of which holds a large share of the rows; AQE splits such a key
-    only in a join that shuffles.
+    joins on plain equality move no row of the fact (``orphans``, which lets a null match a
+    null, still does). A bucket is read by one task: meant for keys none of which holds a
+    large share of the rows; AQE splits such a key only in a join that shuffles.
     """
     for name, df in star.tables().items():
         writer = sort_output(name, df).write
