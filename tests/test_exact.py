@@ -63,6 +63,20 @@ def test_order_does_not_matter(spark):
     assert len(found) == 1 and close(found.pop(), nearest(values))
 
 
+@pytest.mark.parametrize("kind", ["similar", "huge", "denormal", "powers"])
+def test_few_limbs_are_put_together_without_arrays(spark, kind, monkeypatch):
+    rng = random.Random(kind)
+    df = frame(spark, [*[SETS[kind](rng) for _ in range(300)], None, 0.0])
+    found = []
+    for most in (exact.PLAIN, 0):
+        monkeypatch.setattr(exact, "PLAIN", most)
+        sums = exact.sum_by(df, ["i"], "x", "s").union(exact.sum_by(df, ["g"], "x", "s"))
+        plan = sums._jdf.queryExecution().optimizedPlan().toString()
+        assert ("lambda" in plan) == (most == 0)
+        found.append(sorted((r.i, repr(r.s)) for r in sums.collect()))
+    assert found[0] == found[1]
+
+
 def test_what_cancels_is_gone(spark):
     values = [1e300, 1.0, -1e300, 1e-300, -1.0]
     assert exact.sum_by(frame(spark, values), [], "x", "s").first().s == 1e-300

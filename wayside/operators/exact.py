@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 #: Bits of a limb. A sum of limbs fits a long for up to 2**39 rows.
 LIMB = 24
 _DIGIT = 1 << LIMB
+#: Up to so many limbs are put together by one compiled expression, whose size grows with
+#: their square; more, as only values of very different sizes need, by functions on arrays.
+PLAIN = 8
 
 
 class Limbs(NamedTuple):
@@ -92,16 +95,39 @@ def _digits(sums: Column) -> Column:
     return F.aggregate(sums, start, step)
 
 
+def _plain(sums: Sequence[Column], units: Sequence[float], sign: int) -> tuple[Column, Column]:
+    """What ``_digits`` carries over, and the double made of the digits, for ``sign`` times the
+    sums; without arrays, so that Spark compiles it."""
+    total, carry = F.lit(0.0), None
+    for s, unit in zip([*sums, None], units, strict=True):
+        if s is None:
+            digit = carry
+        else:
+            s = s if sign > 0 else -s
+            v = s if carry is None else carry + s
+            digit, carry = v.bitwiseAND(F.lit(_DIGIT - 1)), F.shiftright(v, LIMB)
+        term = digit * F.lit(unit)
+        # nothing times a unit that is no double is nothing
+        total = total + (F.when(digit == 0, 0.0).otherwise(term) if math.isinf(unit) else term)
+    return carry, total
+
+
 def joined(sums: Sequence[Column], limbs: Limbs) -> Column:
     """The double nearest to a sum, from the sums of what ``split`` made; null if they are."""
-    parts = F.array(*sums[: limbs.n])
+    limb_sums, units = sums[: limbs.n], limbs.units(1)
     # the digits of a negative number are those of its opposite
-    sign = F.when(_digits(parts)["carry"] < 0, -1).otherwise(1).cast("long")
-    found = _digits(F.transform(parts, lambda s: s * sign))
-    digits = F.concat(found["digits"], F.array(found["carry"]))
-    units = F.array(*[F.lit(u) for u in limbs.units(1)])
-    terms = F.zip_with(digits, units, lambda d, u: F.when(d == 0, 0.0).otherwise(d * u))
-    total = sign * F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+    if limbs.n <= PLAIN:
+        carry, total = _plain(limb_sums, units, 1)
+        total = F.when(carry < 0, -_plain(limb_sums, units, -1)[1]).otherwise(total)
+    else:
+        parts = F.array(*limb_sums)
+        sign = F.when(_digits(parts)["carry"] < 0, -1).otherwise(1).cast("long")
+        found = _digits(F.transform(parts, lambda s: s * sign))
+        digits = F.concat(found["digits"], F.array(found["carry"]))
+        terms = F.zip_with(
+            digits, F.array(*[F.lit(u) for u in units]), lambda d, u: F.when(d == 0, 0.0).otherwise(d * u)
+        )
+        total = sign * F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
     if not limbs.finite:
         total = F.when(sums[limbs.n] == 0, total).otherwise(sums[limbs.n])
     return F.when(sums[0].isNotNull(), total)
