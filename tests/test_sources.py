@@ -52,6 +52,22 @@ def test_columns_follow_the_header_of_each_file(spark, tmp_path):
     assert rows == {"A-1": ("Dayton", "OH", None), "B-1": ("Austin", "TX", 2), "D-1": ("Reno", None, None)}
 
 
+def test_all_misfits_of_a_record_are_named(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("ID,Severity,Start_Time,Junction,City\n1,x,what,maybe,Reno\n2,3,N/A,,\n3,2,2021-01-01 10:00:00,True,Reno\n")
+    rows = {r.ID: r["_bad_record"] for r in io.read_incidents(spark, str(path), keep_bad=True).collect()}
+    assert rows == {"1": "Severity=x, Start_Time=what, Junction=maybe", "2": None, "3": None}
+
+
+def test_the_reading_loop_is_compiled(spark, tmp_path):
+    # the JVM interprets methods of more than 8,000 bytes
+    io.write_table(fx.incidents(spark, SF_SMALL), str(tmp_path / "csv"), "csv")
+    df = io.read_incidents(spark, str(tmp_path / "csv"), keep_bad=True)
+    loops = df._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [loops.apply(i)._3().maxMethodCodeSize() for i in range(loops.size())]
+    assert sizes and 0 < max(sizes) < 8000
+
+
 def test_damaged_times_are_repaired(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text("ID,Start_Time\n1,2021-01-01 10:00:00 UTC#\n2,*2021-01-01 10:00:00\n3,what\n")

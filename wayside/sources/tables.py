@@ -180,26 +180,28 @@ def read_incidents(
 
 def _typed(texts: DataFrame) -> DataFrame:
     """Declared columns in their types; a value that does not fit makes its record bad."""
-    out, misfits = {}, []
-    for c in texts.columns:
-        if c == BAD_RECORD:
-            continue
-        text = F.col(f"`{c}`")
-        text = F.when(~text.isin(*MISSING_TEXTS), text)
-        out[c] = text
-        kind = RAW_TYPES.get(c)
-        if c in ("Start_Time", "End_Time"):
-            parsed = parse_timestamp(text)
-            out[c] = F.coalesce(parsed, parse_timestamp(repaired_text(text)))
-        elif kind is not None and not isinstance(kind, T.StringType):
-            out[c] = text.try_cast(kind)
+    names = [c for c in texts.columns if c != BAD_RECORD]
+    times = ("Start_Time", "End_Time")
+    checked = [c for c in names if c in times or not isinstance(RAW_TYPES.get(c, T.StringType()), T.StringType)]
+    known = {c: F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")) for c in names}
+    held = {c: f"__text{i}" for i, c in enumerate(checked)}
+    # step by step, so that no text is looked at or parsed once more for the record's sake
+    known_texts = texts.select(*[v.alias(held.get(c, c)) for c, v in known.items()], BAD_RECORD)
+    out = {c: F.col(f"`{c}`") for c in names}
+    for c, name in held.items():
+        text = F.col(name)
+        if c in times:
+            out[c] = F.coalesce(parse_timestamp(text), parse_timestamp(repaired_text(text)))
         else:
-            continue
-        misfits.append(F.when(text.isNotNull() & out[c].isNull(), F.concat(F.lit(f"{c}="), text)))
-    wrong = F.concat_ws(", ", *misfits) if misfits else F.lit("")
-    bad = F.coalesce(F.col(BAD_RECORD), F.when(wrong != "", wrong))
-    # from the texts in one step, so that a record is looked at as it was read
-    return texts.select(*[v.alias(c) for c, v in out.items()], bad.alias(BAD_RECORD))
+            out[c] = text.try_cast(RAW_TYPES[c])
+    typed = known_texts.select(*[v.alias(c) for c, v in out.items()], *held.values(), BAD_RECORD)
+    misfit = {c: F.col(name).isNotNull() & F.col(f"`{c}`").isNull() for c, name in held.items()}
+    which = F.array(*[F.when(odd, F.concat(F.lit(f"{c}="), F.col(held[c]))) for c, odd in misfit.items()])
+    # a function on arrays keeps the long message out of the compiled loop, which the JVM
+    # does not compile beyond 8,000 bytes
+    message = F.array_join(F.filter(which, lambda w: w.isNotNull()), ", ")
+    wrong = F.when(reduce(Column.__or__, misfit.values(), F.lit(False)), message)
+    return typed.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(BAD_RECORD), wrong).alias(BAD_RECORD))
 
 
 def bad_records(df: DataFrame) -> DataFrame:
