@@ -59,6 +59,13 @@ def test_all_misfits_of_a_record_are_named(spark, tmp_path):
     assert rows == {"1": "Severity=x, Start_Time=what, Junction=maybe", "2": None, "3": None}
 
 
+def test_any_column_name_can_be_read(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("ID,Severity,__text0,_0,__TEXT1\n1,2,a,b,c\n")
+    rows = io.read_incidents(spark, str(path), keep_bad=True).select("ID", "Severity", "__text0", "_0", "__TEXT1")
+    assert [tuple(r) for r in rows.collect()] == [("1", 2, "a", "b", "c")]
+
+
 def test_the_reading_loop_is_compiled(spark, tmp_path):
     # the JVM interprets methods of more than 8,000 bytes
     io.write_table(fx.incidents(spark, SF_SMALL), str(tmp_path / "csv"), "csv")

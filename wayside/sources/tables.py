@@ -184,7 +184,8 @@ def _typed(texts: DataFrame) -> DataFrame:
     times = ("Start_Time", "End_Time")
     checked = [c for c in names if c in times or not isinstance(RAW_TYPES.get(c, T.StringType()), T.StringType)]
     known = {c: F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")) for c in names}
-    held = {c: f"__text{i}" for i, c in enumerate(checked)}
+    longer = max(map(len, names), default=0) + 1  # than any name of the table
+    held = {c: str(i).rjust(longer, "_") for i, c in enumerate(checked)}
     # step by step, so that no text is looked at or parsed once more for the record's sake
     known_texts = texts.select(*[v.alias(held.get(c, c)) for c, v in known.items()], BAD_RECORD)
     out = {c: F.col(f"`{c}`") for c in names}
